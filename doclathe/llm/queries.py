@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from doclathe.llm.near_duplicates import near_duplicate_classes
 from doclathe.llm.site_lines import repeated_lines
 from doclathe.runtime import table
 
@@ -16,4 +18,10 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return repeated_lines(table(spark, d, "page_texts")).select("page_id", "line_no")
 
 
-QUERIES: dict[str, Query] = {"p1_found": p1_found}
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    classes = near_duplicate_classes(table(spark, d, "semantic_chunks"))
+    a, b = classes.select(F.col("id").alias("chunk_a"), "class"), classes.select(F.col("id").alias("chunk_b"), "class")
+    return a.join(b, "class").where("chunk_a < chunk_b").select("chunk_a", "chunk_b")
+
+
+QUERIES: dict[str, Query] = {"p1_found": p1_found, "p4_found": p4_found}
