@@ -7,8 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from doclathe.llm.keyword_spam import spam_shares
+from doclathe.llm.leakage import leaked_items
 from doclathe.llm.near_duplicates import near_duplicate_classes
 from doclathe.llm.site_lines import repeated_lines
+from doclathe.llm.tokenizer import encode
 from doclathe.runtime import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,4 +27,16 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return a.join(b, "class").where("chunk_a < chunk_b").select("chunk_a", "chunk_b")
 
 
-QUERIES: dict[str, Query] = {"p1_found": p1_found, "p4_found": p4_found}
+def p8_ids(spark: SparkSession, d: str) -> DataFrame:
+    return encode(table(spark, d, "documents"))
+
+
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return leaked_items(table(spark, d, "documents"), table(spark, d, "eval_items"))
+
+
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    return spam_shares(table(spark, d, "documents")).where("share > 0.5").select("doc_id")
+
+
+QUERIES: dict[str, Query] = {"p1_found": p1_found, "p4_found": p4_found, "p8_ids": p8_ids, "p9_found": p9_found, "p10_found": p10_found}
