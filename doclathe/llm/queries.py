@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from doclathe.llm.keyword_spam import spam_shares
 from doclathe.llm.leakage import leaked_items
 from doclathe.llm.near_duplicates import near_duplicate_classes
+from doclathe.llm.residue import residue_rows
 from doclathe.llm.site_lines import repeated_lines
 from doclathe.llm.tokenizer import encode
 from doclathe.runtime import table
@@ -27,6 +28,10 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return a.join(b, "class").where("chunk_a < chunk_b").select("chunk_a", "chunk_b")
 
 
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return residue_rows(table(spark, d, "scrape_results")).select("scrape_id")
+
+
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return encode(table(spark, d, "documents"))
 
@@ -39,4 +44,4 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
     return spam_shares(table(spark, d, "documents")).where("share > 0.5").select("doc_id")
 
 
-QUERIES: dict[str, Query] = {"p1_found": p1_found, "p4_found": p4_found, "p8_ids": p8_ids, "p9_found": p9_found, "p10_found": p10_found}
+QUERIES: dict[str, Query] = {"p1_found": p1_found, "p4_found": p4_found, "p7_found": p7_found, "p8_ids": p8_ids, "p9_found": p9_found, "p10_found": p10_found}
