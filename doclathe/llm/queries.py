@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from doclathe.llm.keyword_spam import spam_shares
 from doclathe.llm.leakage import leaked_items
 from doclathe.llm.near_duplicates import near_duplicate_classes
+from doclathe.llm.page_body import body_lines
 from doclathe.llm.residue import residue_rows
 from doclathe.llm.site_lines import repeated_lines
 from doclathe.llm.tokenizer import encode
@@ -22,6 +23,10 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return repeated_lines(table(spark, d, "page_texts")).select("page_id", "line_no")
 
 
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    return body_lines(table(spark, d, "raw_pages")).where("not body").select("page_id", "line_no")
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     classes = near_duplicate_classes(table(spark, d, "semantic_chunks"))
     a, b = classes.select(F.col("id").alias("chunk_a"), "class"), classes.select(F.col("id").alias("chunk_b"), "class")
@@ -44,4 +49,4 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
     return spam_shares(table(spark, d, "documents")).where("share > 0.5").select("doc_id")
 
 
-QUERIES: dict[str, Query] = {"p1_found": p1_found, "p4_found": p4_found, "p7_found": p7_found, "p8_ids": p8_ids, "p9_found": p9_found, "p10_found": p10_found}
+QUERIES: dict[str, Query] = {"p1_found": p1_found, "p3_found": p3_found, "p4_found": p4_found, "p7_found": p7_found, "p8_ids": p8_ids, "p9_found": p9_found, "p10_found": p10_found}
