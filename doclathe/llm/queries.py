@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from doclathe.llm.keyword_spam import spam_shares
 from doclathe.llm.leakage import leaked_items
+from doclathe.llm.linkage import CONFIDENCE, match_entities
 from doclathe.llm.near_duplicates import near_duplicate_classes
 from doclathe.llm.page_body import body_lines
 from doclathe.llm.residue import residue_rows
@@ -23,6 +24,21 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return repeated_lines(table(spark, d, "page_texts")).select("page_id", "line_no")
 
 
+def p2_matches(spark: SparkSession, d: str) -> DataFrame:
+    """Entities against airlines and airports: (entity_id, ref_id, confidence)."""
+    kind = F.when(F.trim("entity_type") != "", F.lower(F.trim("entity_type")))
+    entities = table(spark, d, "clean_entities").select(F.col("entity_id").alias("entity"), kind.alias("kind"), F.col("entity_name").alias("name"), "code", "city", "country", "phone", F.col("website").alias("web"))
+    fields = ["name", "full", "code", "city", "country", "phone", F.col("source").alias("web")]
+    airlines = table(spark, d, "airlines").withColumn("full", F.lit(None).cast("string")).select(F.col("airline_id").alias("ref"), F.lit("airline").alias("kind"), *fields)
+    airports = table(spark, d, "airports").withColumnRenamed("full_name", "full").select(F.col("airport_id").alias("ref"), F.lit("airport").alias("kind"), *fields)
+    found = match_entities(entities, airlines.unionByName(airports)).where(F.col("confidence") >= CONFIDENCE)
+    return found.select(F.col("entity").alias("entity_id"), F.col("ref").alias("ref_id"), F.round("confidence", 3).alias("confidence"))
+
+
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    return p2_matches(spark, d).select("entity_id", "ref_id")
+
+
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return body_lines(table(spark, d, "raw_pages")).where("not body").select("page_id", "line_no")
 
@@ -49,4 +65,4 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
     return spam_shares(table(spark, d, "documents")).where("share > 0.5").select("doc_id")
 
 
-QUERIES: dict[str, Query] = {"p1_found": p1_found, "p3_found": p3_found, "p4_found": p4_found, "p7_found": p7_found, "p8_ids": p8_ids, "p9_found": p9_found, "p10_found": p10_found}
+QUERIES: dict[str, Query] = {"p1_found": p1_found, "p2_found": p2_found, "p2_matches": p2_matches, "p3_found": p3_found, "p4_found": p4_found, "p7_found": p7_found, "p8_ids": p8_ids, "p9_found": p9_found, "p10_found": p10_found}
