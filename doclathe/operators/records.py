@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from doclathe.runtime import materialize
+
 
 def keep_first(df: DataFrame, keys: Sequence[Column | str], order: Sequence[str], last: bool = False) -> DataFrame:
     """The first (or last) row of each key in the given order; nulls are a key like any other. The order must be unique within a key, else ties
@@ -30,7 +32,7 @@ def numbered(df: DataFrame, order: Sequence[str], name: str = "no") -> DataFrame
 
     Only the partitions' counts reach the driver, one number each."""
     parts = df.repartitionByRange(*(F.col(c) for c in order)).sortWithinPartitions(*order).withColumn("__part", F.spark_partition_id()).withColumn("__id", F.monotonically_increasing_id())
-    parts = parts.persist()
+    parts = materialize(parts)  # a lost task must not draw other split points
     counts = parts.groupBy("__part").agg(F.count("*").alias("n"), F.min("__id").alias("first"))
     offsets = counts.select("__part", "first", (F.sum("n").over(W.orderBy("__part")) - F.col("n")).alias("offset"))
     return parts.join(F.broadcast(offsets), "__part").withColumn(name, F.col("__id") - F.col("first") + F.col("offset") + 1).drop("__part", "__id", "first", "offset")
