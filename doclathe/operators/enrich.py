@@ -30,9 +30,9 @@ class SentenceBackend:
     def __call__(self, request: str) -> str:
         out = []
         for chunk in json.loads(request):
-            for s in re.split(r"(?<=[.!?])\s+", chunk["text"] or ""):
+            for s in re.split(r"(?<=[.!?])\s+", chunk.get("text") or ""):
                 if s.strip():
-                    out.append({"section": chunk["section"], "text": s.strip(), "parent_id": chunk["id"]})
+                    out.append({"section": chunk.get("section") or "General", "text": s.strip(), "parent_id": chunk.get("id")})
         return "Here you are:\n" + json.dumps(out, ensure_ascii=False)
 
 

@@ -44,6 +44,15 @@ def resequence(df: DataFrame, order: Sequence[str], name: str = "rule_id", prefi
 
 
 def batches(df: DataFrame, per: Sequence[str], order: Sequence[str], size: int) -> DataFrame:
-    """Rows of each group in slices of `size`: columns pos (from 0) and batch."""
-    w = W.partitionBy(*per).orderBy(*order)
-    return df.withColumn("pos", F.row_number().over(w) - 1).withColumn("batch", F.floor(F.col("pos") / size).cast("int"))
+    """Rows of each group in slices of `size`: columns pos (from 0, long) and batch.
+
+    Rows are ordered by range partitions over group and order, so a large group spreads over tasks; each partition's rows are numbered by
+    themselves and offset by what the group has in partitions before."""
+    cols = [*per, *order]
+    parts = materialize(df.repartitionByRange(*(F.col(c) for c in cols)).withColumn("__part", F.spark_partition_id()))
+    own = parts.withColumn("__n", F.row_number().over(W.partitionBy("__part", *per).orderBy(*order)))
+    counts = parts.groupBy(*per, "__part").agg(F.count("*").alias("__c"))
+    before = counts.withColumn("__before", F.sum("__c").over(W.partitionBy(*per).orderBy("__part")) - F.col("__c")).drop("__c")
+    same = [own[c].eqNullSafe(before[c]) for c in [*per, "__part"]]
+    joined = own.join(before, same).select(*(own[c] for c in df.columns), (F.col("__n") - 1 + F.col("__before")).alias("pos"))
+    return joined.withColumn("batch", F.floor(F.col("pos") / size))

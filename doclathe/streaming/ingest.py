@@ -20,12 +20,12 @@ def read_files(spark: SparkSession, path: str, schema: StructType, files: int =
 
 def unseen(stream: DataFrame, text: str, time: str, late: str) -> DataFrame:
     """Rows whose content wasn't seen within the watermark; state is bounded by it."""
-    return stream.withColumn("content_id", F.substring(F.sha2(F.coalesce(text, F.lit("")), 256), 1, 32)).withWatermark(time, late).dropDuplicatesWithinWatermark(["content_id"])
+    return stream.withColumn(time, F.col(time).cast("timestamp")).withColumn("content_id", F.substring(F.sha2(F.coalesce(text, F.lit("")), 256), 1, 32)).withWatermark(time, late).dropDuplicatesWithinWatermark(["content_id"])
 
 
 def windowed_counts(stream: DataFrame, time: str, by: list[str], late: str = "1 hour", window: str = "1 day") -> DataFrame:
     """Counts per window and group; rows later than the watermark are left out."""
-    return stream.withWatermark(time, late).groupBy(F.window(time, window), *by).agg(F.count("*").alias("n")).select(F.col("window.start").alias("window_start"), *by, "n")
+    return stream.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, late).groupBy(F.window(time, window), *by).agg(F.count("*").alias("n")).select(F.col("window.start").alias("window_start"), *by, "n")
 
 
 class VersionedTable:
