@@ -66,3 +66,13 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {"p1_found": p1_found, "p2_found": p2_found, "p2_matches": p2_matches, "p3_found": p3_found, "p4_found": p4_found, "p7_found": p7_found, "p8_ids": p8_ids, "p9_found": p9_found, "p10_found": p10_found}
+
+# --- SQL of the queries above; the others are tested against brute force or held-out rows in tests/llm ---
+
+_KEY = "trim(regexp_replace(lower(line), '[^\\p{L}]+', ' ', 'g'))"
+_P1 = f"""
+    WITH p AS (SELECT page_id, source_id, source, string_split(text, chr(10)) AS l FROM page_texts WHERE text IS NOT NULL),
+    l AS (SELECT page_id, source_id, source, (i - 1)::INT AS line_no, l[i] AS line FROM (SELECT *, unnest(range(1, 1 + len(l))) AS i FROM p)), k AS (SELECT *, {_KEY} AS k FROM l),
+    n AS (SELECT source_id, count(DISTINCT source) AS pages FROM page_texts GROUP BY source_id), w AS (SELECT source_id, k, count(DISTINCT source) AS w FROM k WHERE k <> '' GROUP BY ALL)
+    SELECT page_id, line_no FROM k JOIN w USING (source_id, k) JOIN n USING (source_id) WHERE 5 * w >= pages"""
+ORACLES: dict[str, str] = {"p1_found": _P1}
