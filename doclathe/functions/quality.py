@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from doclathe.functions.text import LINE_BREAK, any_phrase, strip, words
+from doclathe.functions.text import LINE_BREAK, any_phrase, let, strip, words
 
 # Phrases of pages that hold no content, looked for in the first 1000 characters, in the order they are tried.
 PHRASES = (
@@ -28,21 +28,28 @@ def lines(c: Column) -> Column:
     return F.filter(F.transform(F.split(strip(c), LINE_BREAK), strip), lambda s: (s != "") & ~is_structural(s))
 
 
-def short_share(c: Column) -> Column:
-    """Share of the lines with at most two words; null without lines."""
-    every = lines(c)
+def share_of_short(every: Column) -> Column:
+    """Share of an array of lines with at most two words; null without lines."""
     return F.size(F.filter(every, lambda s: F.size(words(s)) <= 2)) / F.nullif(F.size(every), F.lit(0))
 
 
-def top_count(c: Column) -> Column:
-    """How often the most frequent line stands. Sorting puts equal lines together, so one fold counts them."""
+def most_frequent(every: Column) -> Column:
+    """How often the most frequent line of an array stands. Sorting puts equal lines together, so one fold counts them."""
     start = F.struct(F.lit(None).cast("string").alias("last"), F.lit(0).alias("run"), F.lit(0).alias("most"))
 
     def step(a: Column, s: Column) -> Column:
         run = F.when(a["last"].eqNullSafe(s), a["run"] + 1).otherwise(1)
-        return F.struct(s.alias("last"), run.alias("run"), F.greatest(a["most"], run).alias("most"))
+        return let(run, lambda r: F.struct(s.alias("last"), r.alias("run"), F.greatest(a["most"], r).alias("most")))
+
+    return F.aggregate(F.array_sort(every), start, step, lambda a: a["most"])
+
+
+def short_share(c: Column) -> Column:
+    return let(lines(c), share_of_short)
+
 
-    return F.aggregate(F.array_sort(lines(c)), start, step, lambda a: a["most"])
+def top_count(c: Column) -> Column:
+    return let(lines(c), most_frequent)
 
 
 def first_phrase(sample: Column, phrases: tuple[str, ...]) -> Column:
@@ -50,25 +57,35 @@ def first_phrase(sample: Column, phrases: tuple[str, ...]) -> Column:
     return F.get(F.filter(F.array(*map(F.lit, phrases)), lambda p: F.contains(sample, p)), F.lit(0))
 
 
+def _line_check(every: Column) -> Column:
+    n = F.size(every)
+    return F.when((n > 15) & (share_of_short(every) > 0.75), "noise_ratio").when((n > 10) & (most_frequent(every) > 5), "repetition").otherwise("ok")
+
+
 def reason(c: Column) -> Column:
     """'ok', or the first failed check: empty, too_short, a class of PHRASES, noise_ratio, repetition. Null counts as empty.
 
-    Cheap checks come first; CASE evaluates the line statistics only for texts that pass them."""
-    s = strip(F.coalesce(c, F.lit("")))
-    sample = F.lower(F.substring(s, 1, SAMPLE))
-    out = F.when(s == "", "empty").when(F.length(s) < LEAST, "too_short")
-    for name, phrases in PHRASES:
-        out = out.when(sample.rlike(any_phrase(phrases)), name)
-    n = F.size(lines(s))
-    return out.when((n > 15) & (short_share(s) > 0.75), "noise_ratio").when((n > 10) & (top_count(s) > 5), "repetition").otherwise("ok")
+    Cheap checks come first; CASE evaluates the line statistics only for texts that pass them, and lines are split once."""
+
+    def of(s: Column) -> Column:
+        sample = F.lower(F.substring(s, 1, SAMPLE))
+        out = F.when(s == "", "empty").when(F.length(s) < LEAST, "too_short")
+        for name, phrases in PHRASES:
+            out = out.when(sample.rlike(any_phrase(phrases)), name)
+        return out.otherwise(let(lines(s), _line_check))
+
+    return let(strip(F.coalesce(c, F.lit(""))), of)
 
 
 def detail(c: Column) -> Column:
     """What the failed check found: a length, the first phrase, a share or a count; null where all is well or nothing is there."""
-    s = strip(F.coalesce(c, F.lit("")))
-    sample = F.lower(F.substring(s, 1, SAMPLE))
-    why = reason(c)
-    out = F.when(why == "too_short", F.length(s).cast("string"))
-    for name, phrases in PHRASES:
-        out = out.when(why == name, first_phrase(sample, phrases))
-    return out.when(why == "noise_ratio", F.format_number(100 * short_share(s), 0)).when(why == "repetition", top_count(s).cast("string"))
+
+    def of(v: Column) -> Column:
+        s, why = v["s"], v["why"]
+        sample = F.lower(F.substring(s, 1, SAMPLE))
+        out = F.when(why == "too_short", F.length(s).cast("string"))
+        for name, phrases in PHRASES:
+            out = out.when(why == name, first_phrase(sample, phrases))
+        return out.when(why == "noise_ratio", F.format_number(100 * short_share(s), 0)).when(why == "repetition", top_count(s).cast("string"))
+
+    return let(F.struct(strip(F.coalesce(c, F.lit(""))).alias("s"), reason(c).alias("why")), of)

@@ -24,6 +24,11 @@ BEFORE, AFTER = r"(^|[^\p{L}\p{N}_])", r"($|[^\p{L}\p{N}_])"
 JSON_FIELD = rf'^"[a-z_]+":{WS}*("[^"]*"|[0-9-]+),?{WS}*\z'
 
 
+def let(value: Column, f) -> Column:
+    """f of a value that is computed once, however often f uses it."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def strip(c: Column) -> Column:
     return F.regexp_replace(c, rf"^{WS}+|{WS}+\z", "")
 
@@ -106,29 +111,38 @@ def is_bullet(c: Column) -> Column:
     return c.rlike(rf"^([-•*]|[0-9]+\.|[a-zA-Z]\)){WS}+")
 
 
-def is_heading(c: Column) -> Column:
-    """A line that introduces what follows: marked, a question, in capitals, ending with a colon, numbered, or in title case."""
-    s = strip(c)
-    alpha = F.filter(words(s), lambda w: w.rlike(r"^\p{L}+\z"))
-    title = (F.size(alpha) > 0) & (F.size(words(s)) <= 10) & F.forall(alpha, lambda w: w.rlike(r"^[\p{Lu}\p{Lt}]"))
+def heading_of(s: Column, w: Column) -> Column:
+    """is_heading of a trimmed line and its words."""
+    alpha = F.filter(w, lambda x: x.rlike(r"^\p{L}+\z"))
+    title = (F.size(w) <= 10) & let(alpha, lambda a: (F.size(a) > 0) & F.forall(a, lambda x: x.rlike(r"^[\p{Lu}\p{Lt}]")))
     short = (F.length(s) < 100) & (is_upper(s) | s.endswith(":") | s.rlike(rf"^[0-9]+(\.[0-9]+)*\.{WS}+[A-Z]"))
     marked = s.rlike(rf"^#{{1,6}}{WS}+") | (s.endswith("?") & (F.length(s) < 120))
     return (s != "") & ~s.isin("{", "}", "[", "]") & ~s.rlike(JSON_FIELD) & (marked | short | title)
 
 
+def is_heading(c: Column) -> Column:
+    """A line that introduces what follows: marked, a question, in capitals, ending with a colon, numbered, or in title case."""
+    return let(strip(c), lambda s: let(words(s), lambda w: heading_of(s, w)))
+
+
+def fragment_of(s: Column) -> Column:
+    return s.isin("{", "}", "[", "]") | s.rlike(r"^[)\]}\p{Ll}]") | s.rlike(JSON_FIELD)
+
+
 def is_fragment(c: Column) -> Column:
     """A line broken off a sentence or structure."""
-    s = strip(c)
-    return s.isin("{", "}", "[", "]") | s.rlike(JSON_FIELD) | s.rlike(r"^[)\]}\p{Ll}]")
+    return let(strip(c), fragment_of)
 
 
 def is_truncated(c: Column) -> Column:
     """Ends within a word: nothing at all, or a last letter whose word is short and in lower case or ends with three consonants."""
-    s = strip(c)
-    last = F.regexp_extract(s, rf"([^{WS_CHARS}]+)\z", 1)
-    open_ = s.rlike(r"\p{L}\z")
-    cut = (F.length(last) <= 4) & last.rlike(r"\p{Ll}") & ~last.rlike(r"\p{Lu}")
-    return (s == "") | (open_ & (cut | last.rlike(rf"[^aeiouAEIOU{WS_CHARS}]{{3}}\z")))
+
+    def of(s: Column) -> Column:
+        last = F.regexp_extract(s, rf"([^{WS_CHARS}]+)\z", 1)
+        cut = lambda w: ((F.length(w) <= 4) & w.rlike(r"\p{Ll}") & ~w.rlike(r"\p{Lu}")) | w.rlike(rf"[^aeiouAEIOU{WS_CHARS}]{{3}}\z")
+        return (s == "") | (s.rlike(r"\p{L}\z") & let(last, cut))
+
+    return let(strip(c), of)
 
 
 def plain_clean(c: Column) -> Column:
@@ -146,11 +160,7 @@ def detect_headings(c: Column) -> Column:
 LOW_VALUE = "table of contents|list of tables|list of acronyms|acknowledgements|contents"
 
 
-def pdf_line_flags(c: Column) -> dict[str, Column]:
-    """The eight reasons to drop a line of a PDF."""
-    t = strip(c)
-    low = F.lower(t)
-    n_words = F.size(words(t))
+def _pdf_flags(t: Column, low: Column, n_words: Column) -> dict[str, Column]:
     count = lambda text, pattern: F.regexp_count(text, F.lit(pattern))
     spaces = F.length(t) - F.length(F.replace(t, F.lit(" "), F.lit("")))
     commas = F.length(t) - F.length(F.replace(t, F.lit(","), F.lit("")))
@@ -159,25 +169,36 @@ def pdf_line_flags(c: Column) -> dict[str, Column]:
         "toc": low.rlike(r"\.{3,}") | low.rlike(rf"^[0-9]+{WS}+[0-9]+(\.[0-9]+)*\.{WS}+"),
         "chart": low.rlike(f"{BEFORE}(0|10|20|30|40|50|60|70|80|90|100)%{WORD}") | (count(low, r"[0-9]+%") > 3),
         "numeric": (n_words == 0) | (count(t, r"[0-9]+[,.]?[0-9]*%?") > 0.4 * F.greatest(n_words, F.lit(1))),
-        "repeated": (F.length(t) < 5) | low.rlike(rf"page{WS}*[0-9]+") | ((F.size(F.array_distinct(F.split(t, ""))) < 5) & (F.length(t) > 20)),
-        "reference": (t.rlike(f"{BEFORE}(19|20)[0-9]{{2}}[a-z]?{AFTER}") & (n_words < 12)) | t.rlike(rf"^[A-Z][a-z]+,{WS}[A-Z]\.") | ((commas >= 2) & t.rlike("[0-9]{4}")),
+        "repeated": (F.length(t) < 5) | low.rlike(rf"page{WS}*[0-9]+") | ((F.length(t) > 20) & (F.size(F.array_distinct(F.split(t, ""))) < 5)),
+        "reference": ((n_words < 12) & t.rlike(f"{BEFORE}(19|20)[0-9]{{2}}[a-z]?{AFTER}")) | t.rlike(rf"^[A-Z][a-z]+,{WS}[A-Z]\.") | ((commas >= 2) & t.rlike("[0-9]{4}")),
         "ocr": t.rlike(f"{BEFORE}{WORD}{WS}{WORD}{WS}{WORD}{AFTER}") | (F.size(F.filter(F.split(t, r"[^\p{L}\p{N}_]+"), lambda w: w.rlike(r"^[a-zA-Z]\z"))) > 3) | ((F.length(t) > 20) & (spaces > 0.25 * F.length(t))),
-        "form": low.contains("observations and/or suggestions") | low.contains("thank you") | low.rlike("_{3,}") | ((count(low, "[a-z]") < 5) & low.contains("_")),
+        "form": low.contains("observations and/or suggestions") | low.contains("thank you") | low.rlike("_{3,}") | (low.contains("_") & (count(low, "[a-z]") < 5)),
     }
 
 
-def pdf_clean(c: Column) -> Column:
-    """Text of a PDF without the lines that any flag drops."""
-    flat = F.translate(F.regexp_replace(c, r"\x{FFFD}", ""), " –—", " --")
-    flat = strip(F.regexp_replace(F.regexp_replace(flat, rf"({WORD}){WS}{{2,}}({WORD})", "$1 $2"), " +", " "))
+def pdf_line_flags(c: Column) -> dict[str, Column]:
+    """The eight reasons to drop a line of a PDF."""
+    t = strip(c)
+    return _pdf_flags(t, F.lower(t), F.size(words(t)))
 
-    def keep(line: Column) -> Column:
+
+def _pdf_keep(t: Column) -> Column:
+    """No flag of a trimmed line is set; later flags are looked at only if no earlier one is."""
+
+    def of(v: Column) -> Column:
         drop = F.lit(False)
-        for flag in pdf_line_flags(line).values():
+        for flag in _pdf_flags(v["t"], v["low"], v["n"]).values():
             drop = drop | flag
         return ~drop
 
-    return F.array_join(F.filter(F.transform(F.split(flat, "\n"), strip), keep), "\n")
+    return let(F.struct(t.alias("t"), F.lower(t).alias("low"), F.size(words(t)).alias("n")), of)
+
+
+def pdf_clean(c: Column) -> Column:
+    """Text of a PDF without the lines that any flag drops."""
+    flat = F.translate(F.regexp_replace(c, r"\x{FFFD}", ""), " –—", " --")
+    flat = strip(F.regexp_replace(F.regexp_replace(flat, rf"({WORD}){WS}{{2,}}({WORD})", "$1 $2"), " +", " "))
+    return F.array_join(F.filter(F.transform(F.split(flat, "\n"), strip), _pdf_keep), "\n")
 
 
 def page_clean(c: Column, extracted: bool = False) -> Column:

@@ -17,9 +17,10 @@ CHUNK, PACK = 1200, 50_000
 
 def _kinds(text: Column, size: int) -> Column:
     """The paragraphs that are no fragments, as (kind, text, section): H heading, B bullet, L longer than a chunk, P other."""
-    kept = F.filter(T.paragraphs(text), lambda p: ~T.is_fragment(p))
-    kind = lambda p: F.when(T.is_heading(p), "H").when(T.is_bullet(p), "B").when(F.length(p) > size, "L").otherwise("P")
-    return F.transform(kept, lambda p: F.struct(kind(p).alias("kind"), p.alias("text"), F.when(T.is_heading(p), T.clean_section(p)).alias("section")))
+    kept = F.filter(T.paragraphs(text), lambda p: ~T.fragment_of(p))
+    headed = F.transform(kept, lambda p: F.struct(p.alias("p"), T.let(T.words(p), lambda w: T.heading_of(p, w)).alias("h")))
+    kind = lambda x: F.when(x["h"], "H").when(T.is_bullet(x["p"]), "B").when(F.length(x["p"]) > size, "L").otherwise("P")
+    return F.transform(headed, lambda x: F.struct(kind(x).alias("kind"), x["p"].alias("text"), F.when(x["h"], T.clean_section(x["p"])).alias("section")))
 
 
 def _fold(parts: list[dict], size: int, pending_first: bool) -> list[tuple[str, str, str]]:
