@@ -44,7 +44,7 @@ def crawl(starts: DataFrame, links: DataFrame, pages: DataFrame | None = None, d
     out = levels[0]
     for x in levels[1:]:
         out = out.unionByName(x)
-    return out
+    return out.select("start", "url", "depth")
 
 
 def first_pages(reached: DataFrame, limits: DataFrame, default: int = 5) -> DataFrame:

@@ -14,7 +14,7 @@ def local_documents(spark: SparkSession, folder: str, glob: str = "*.{pdf,txt,ht
     """(path, kind, text, problem) of the files in a folder and below. Texts are UTF-8, or else Latin-1; PDF and unknown kinds have a problem instead
     of a text, so that one file doesn't end the job (a PDF reader is not part of Spark)."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(folder)
-    decoded = F.when(F.is_valid_utf8(F.col("content").cast("string")), F.col("content").cast("string")).otherwise(F.decode("content", F.lit("ISO-8859-1")))
+    decoded = F.when(F.is_valid_utf8(F.col("content").cast("string")), F.col("content").cast("string")).otherwise(F.decode("content", "ISO-8859-1"))
     pdf = F.col("content").startswith(F.lit(b"%PDF"))
     suffix = F.lower(F.regexp_extract("path", r"\.([A-Za-z0-9]+)$", 1))
     kind = F.when(pdf, "pdf").otherwise(suffix)
