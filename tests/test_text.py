@@ -29,7 +29,7 @@ def test_fragments_and_truncation(ev):
 
 
 def test_clean_text(ev):
-    assert ev(T.clean_text, '"body": "Hello",\n## Head\nSource: https://x.y z\n────\n--- ---\na  b – “q” ‘s’ it’s\\nnext') == ["Hello\nHead\n z\n\n\na b - \"q\" 's’ it’s next"]
+    assert ev(T.clean_text, '"body": "Hello",\n## Head\nSource: https://x.y z\n────\n--- ---\na  b – “q” ‘s’ it’s\\nnext') == ["Hello\nHead\n z\n\na b - \"q\" 's’ it’s next"]
     assert ev(T.normalize_text, "One. Two! Three\nFour", None, "") == ["One.\n\nTwo!\n\nThree\n\nFour", None, ""]
 
 
