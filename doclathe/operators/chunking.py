@@ -10,6 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from doclathe.functions import text as T
+from doclathe.runtime import spread
 
 #: Characters of a chunk, and of a batch of text.
 CHUNK, PACK = 1200, 50_000
@@ -62,7 +63,7 @@ def semantic_chunks(df: DataFrame, keys: list[str], text: str = "text", size: in
     chunk of its own, given out before what was pending unless pending_first. The id is the md5 of the text; of chunks closed by a heading, of
     the text with its paragraph breaks. Rules run in the JVM; only the fold over classified paragraphs crosses to Python, in linear time.
     Null and empty texts give no chunks."""
-    parts = df.where(F.col(text).isNotNull()).select(*keys, _kinds(F.col(text), size).alias("__parts"))
+    parts = spread(df.where(F.col(text).isNotNull()).select(*keys, F.col(text).alias("__text"))).select(*keys, _kinds(F.col("__text"), size).alias("__parts"))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in parts.select(*keys).schema)
 
     def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -14,7 +14,7 @@ from doclathe.operators.compare import compare_copies
 from doclathe.operators.records import chunk_dedupe
 from doclathe.operators.snapshots import snapshot_changes
 from doclathe.plans import record_queries, text_queries
-from doclathe.runtime import table
+from doclathe.runtime import spread, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,7 +29,7 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
 
 def chunk_counts(spark: SparkSession, d: str) -> DataFrame:
     """Flagship: documents that pass the quality gate, chunked, the first of like chunks kept, counted by source."""
-    docs = table(spark, d, "documents").select("doc_id", F.coalesce("source", F.lit("")).alias("source_id"), "text").where(reason(F.col("text")) == "ok")
+    docs = spread(table(spark, d, "documents").select("doc_id", F.coalesce("source", F.lit("")).alias("source_id"), "text")).where(reason(F.col("text")) == "ok")
     chunks = semantic_chunks(docs, ["source_id", "doc_id"])
     return chunk_dedupe(chunks, ["doc_id", "chunk_no"]).groupBy("source_id").agg(F.count("*").alias("chunks"), F.sum(F.length("text")).alias("characters"))
 

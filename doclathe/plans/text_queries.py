@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from doclathe.functions import quality as Q
 from doclathe.functions import text as T
-from doclathe.runtime import table
+from doclathe.runtime import spread, table
 
 WS, CH = T.WS, T.WS_CHARS
 
@@ -72,7 +72,7 @@ def _texts(name: str, make, sql: str, source: str = "documents", key: str = "doc
     """A query of the md5 and length of a transformed text of every row."""
 
     def run(spark: SparkSession, d: str) -> DataFrame:
-        return table(spark, d, source).select(key, make(F.col(text)).alias("t")).select(key, F.md5("t").alias("md5"), F.length("t").alias("size"))
+        return spread(table(spark, d, source).select(key, text)).select(key, make(F.col(text)).alias("t")).select(key, F.md5("t").alias("md5"), F.length("t").alias("size"))
 
     add(name, run, f"SELECT {key}, md5(t) AS md5, length(t)::INT AS size FROM (SELECT {key}, {sql} AS t FROM {source})")
 
@@ -120,7 +120,7 @@ add("q_clean_section", q_clean_section, f"""
 
 
 def _page_lines(spark, d, name="page_texts", key="page_id"):
-    return table(spark, d, name).select(key, F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    return spread(table(spark, d, name).select(key, "text")).select(key, F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
 
 
 def _page_lines_sql(name="page_texts", key="page_id") -> str:
@@ -202,7 +202,7 @@ add("q_scrape_cascade", q_scrape_cascade, f"SELECT scrape_id, CASE WHEN NOT {_bo
 
 
 def _gate(spark, d) -> DataFrame:
-    return table(spark, d, "scrape_results").select("scrape_id", Q.reason(F.col("text")).alias("reason"), Q.detail(F.col("text")).alias("detail"))
+    return spread(table(spark, d, "scrape_results").select("scrape_id", "text")).select("scrape_id", Q.reason(F.col("text")).alias("reason"), Q.detail(F.col("text")).alias("detail"))
 
 
 _s = strip("coalesce(text, '')")
@@ -224,7 +224,7 @@ add("q_quality_gate", _gate, _gated("scrape_id", "scrape_results") + f", d AS (S
 
 
 def q_quality_counts(spark, d):
-    t = table(spark, d, "documents").select(F.coalesce("source", F.lit("")).alias("source"), Q.reason(F.col("text")).alias("reason"))
+    t = spread(table(spark, d, "documents").select("source", "text")).select(F.coalesce("source", F.lit("")).alias("source"), Q.reason(F.col("text")).alias("reason"))
     return t.groupBy("source", "reason").agg(F.count("*").alias("n"))
 
 

@@ -76,4 +76,15 @@ def parallelism(spark: SparkSession) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
 
 
-__all__ = ["BROADCAST_ROWS", "materialize", "parallelism", "release", "shared_dir", "small", "table"]
+#: Bytes of input per core below which a scan may leave cores idle.
+SPREAD_BYTES = 1_000_000
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """df over all cores if it is too small for its scan to reach them all (one small file is one task); larger input is left as it lies."""
+    spark = df.sparkSession
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return df.repartition(parallelism(spark)) if size < SPREAD_BYTES * spark.sparkContext.defaultParallelism else df
+
+
+__all__ = ["BROADCAST_ROWS", "materialize", "parallelism", "release", "shared_dir", "small", "spread", "table"]
