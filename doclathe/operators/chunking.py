@@ -63,14 +63,14 @@ def semantic_chunks(df: DataFrame, keys: list[str], text: str = "text", size: in
     chunk of its own, given out before what was pending unless pending_first. The id is the md5 of the text; of chunks closed by a heading, of
     the text with its paragraph breaks. Rules run in the JVM; only the fold over classified paragraphs crosses to Python, in linear time.
     Null and empty texts give no chunks."""
-    parts = spread(df.where(F.col(text).isNotNull()).select(*keys, F.col(text).alias("__text"))).select(*keys, _kinds(F.col("__text"), size).alias("__parts"))
+    parts = spread(df.select(*keys, F.col(text).alias("__text"))).select(*keys, _kinds(F.col("__text"), size).alias("__parts"))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in parts.select(*keys).schema)
 
     def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in found:
             rows, no, folded = [], [], []
             for i, p in enumerate(batch.column(len(keys)).to_pylist()):
-                for n, chunk in enumerate(_fold(p, size, pending_first)):
+                for n, chunk in enumerate(_fold(p or [], size, pending_first)):
                     rows.append(i)
                     no.append(n)
                     folded.append(chunk)

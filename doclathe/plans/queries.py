@@ -29,8 +29,9 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
 
 def chunk_counts(spark: SparkSession, d: str) -> DataFrame:
     """Flagship: documents that pass the quality gate, chunked, the first of like chunks kept, counted by source."""
-    docs = spread(table(spark, d, "documents").select("doc_id", F.coalesce("source", F.lit("")).alias("source_id"), "text")).where(reason(F.col("text")) == "ok")
-    chunks = semantic_chunks(docs, ["source_id", "doc_id"])
+    docs = spread(table(spark, d, "documents").select("doc_id", F.coalesce("source", F.lit("")).alias("source_id"), "text"))
+    passed = docs.withColumn("text", F.when(reason(F.col("text")) == "ok", F.col("text")))  # no filter: that would run before the rows are spread
+    chunks = semantic_chunks(passed, ["source_id", "doc_id"])
     return chunk_dedupe(chunks, ["doc_id", "chunk_no"]).groupBy("source_id").agg(F.count("*").alias("chunks"), F.sum(F.length("text")).alias("characters"))
 
 

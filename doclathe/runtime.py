@@ -83,7 +83,7 @@ SPREAD_BYTES = 1_000_000
 def spread(df: DataFrame) -> DataFrame:
     """df over all cores if it is too small for its scan to reach them all (one small file is one task); larger input is left as it lies."""
     spark = df.sparkSession
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
     return df.repartition(parallelism(spark)) if size < SPREAD_BYTES * spark.sparkContext.defaultParallelism else df
 
 
