@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from doclathe.llm.words import hashes, mix, words
+from doclathe.runtime import spread
 
 _U = np.uint64
 #: Words of a shingle.
@@ -120,7 +121,7 @@ def leaked_items(docs: DataFrame, items: DataFrame, doc: str = "doc_id", text: s
     rows = items.select(F.col(item).cast("string").alias("i"), F.col(passage).alias("p"), F.col(question).alias("q")).where("i is not null")
     passes = max(1, -(-rows.count() // ITEMS))
     kind = docs.schema[doc].dataType.simpleString()
-    source = docs.select(F.col(doc).alias("doc"), F.col(text).alias("text")).where("text is not null")
+    source = spread(docs.select(F.col(doc).alias("doc"), F.col(text).alias("text")).where("text is not null"))
     found = None
     for n in range(passes):
         part = rows.where(F.pmod(F.xxhash64("i"), F.lit(passes)) == n).collect()

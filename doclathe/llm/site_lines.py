@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from doclathe.runtime import materialize, release, small
+from doclathe.runtime import materialize, release, small, spread
 
 #: A line or a pair of consecutive lines is boilerplate if it stands on at least this share of the pages of its source.
 SUPPORT = 0.2
@@ -58,6 +58,7 @@ def repeated_lines(df: DataFrame, doc: str = "page_id", source: str = "source_id
 
     Support is counted in two aggregations (page, then source), each combined before its shuffle, so a hot source spreads over its lines and pages."""
     rows = _rows(df.select(*{doc, source, page}, F.col(text).alias("text")) if text != "text" else df, doc, source, page)
+    rows = spread(rows)
     pages = rows.groupBy("src", "page").agg(F.lit(1).alias("one")).groupBy("src").agg(F.count("*").alias("pages"))
     pages = materialize(pages)
     lines = _lines(rows)

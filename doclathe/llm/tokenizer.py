@@ -14,6 +14,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from doclathe.runtime import spread
+
 #: Where the rank file lies by default.
 RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # Fixed value: the public pattern that splits a text into words before merging.
@@ -140,4 +142,4 @@ def encode(df: DataFrame, ranks: str = RANKS, key: str = "doc_id", text: str = "
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids.astype(np.int32)))], names=[key, "ids"])
 
     kind = df.schema[key].dataType.simpleString()
-    return df.select(key, F.col(text).alias("text")).mapInArrow(run, f"`{key}` {kind}, ids array<int>")
+    return spread(df.select(key, F.col(text).alias("text"))).mapInArrow(run, f"`{key}` {kind}, ids array<int>")
