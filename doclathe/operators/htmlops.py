@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
-from urllib.parse import urljoin
+from urllib.parse import urljoin, urlsplit
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -153,6 +153,88 @@ def tables(html: str) -> list[str]:
     return [table_text(n) for n in parse(html).walk() if n.tag == "table"]
 
 
+def _matches(node: Node, selector: str) -> bool:
+    """A simple selector: tag, #id, .class, or tag with one of these."""
+    tag, mark, name = re.fullmatch(r"([a-z0-9]*)([#.]?)([\w-]*)", selector).groups()
+    if tag and node.tag != tag:
+        return False
+    if mark == "#":
+        return node.attrs.get("id") == name
+    return not mark or name in node.attrs.get("class", "").split()
+
+
+def content_node(root: Node, selectors: tuple[str, ...]) -> Node:
+    """The first node of the first selector that any node matches, else the root."""
+    for selector in selectors:
+        found = next((n for n in root.walk() if _matches(n, selector)), None)
+        if found is not None:
+            return found
+    return root
+
+
+# Where the content of a page usually stands, in the order it is looked for.
+CONTENT = ("main", "article", "#content", "#main-content", ".content", "div.field--name-body", "body")
+
+
+def content_text(html: str, selectors: tuple[str, ...] = CONTENT) -> str:
+    """The text of the content node, strings stripped, a blank line between blocks; noise elements dropped; two-cell rows with a number as `num  text`."""
+    out: list[str] = []
+    stack: list[Node | str] = [content_node(parse(html), selectors)]
+    while stack:
+        x = stack.pop()
+        if isinstance(x, str):
+            out.append(" ".join(x.split()) and " " + " ".join(x.split()) if x != "\n\n" else x)
+        elif not is_noise(x):
+            cells = [c for c in x.children if isinstance(c, Node) and c.tag == "td"] if x.tag == "tr" else []
+            if len(cells) == 2:
+                num, body = (" ".join(c.text(" ").split()) for c in cells)
+                out += ["\n\n", f"{num}  {body}", "\n\n"]
+                continue
+            edge = ["\n\n"] if x.tag in BLOCKS else []
+            stack += [*edge, *reversed(x.children), *edge]
+    return re.sub(r"\n{3,}", "\n\n", "\n".join(line.strip() for line in "".join(out).split("\n"))).strip()
+
+
+def heading_sections(html: str, least: int = 20, most: int = 2000) -> list[dict]:
+    """(heading, body) for h1 to h3: the texts of more than `least` characters up to the next heading, joined and cut at `most`; without headings the whole page."""
+    found: list[dict] = []
+    for b in blocks(html, least + 1):
+        if b["heading"] is None or b["heading_level"] > 3:
+            continue
+        if not found or found[-1]["heading"] != b["heading"]:
+            found.append({"heading": b["heading"], "body": b["text"]})
+        else:
+            found[-1]["body"] += "\n" + b["text"]
+    whole = clean(html)
+    found = found or ([{"heading": None, "body": whole}] if whole else [])
+    return [{"heading": f["heading"], "body": f["body"][:most]} for f in found]
+
+
+_date = re.compile(r"\b\d{4}-\d{2}-\d{2}\b|\b\d{1,2}[./]\d{1,2}[./]\d{4}\b")
+
+
+def metadata(html: str) -> dict:
+    """(title, published): og:title, else the first h1, else title; a date in the usual meta elements or a time element, else the first date in the text."""
+    root = parse(html)
+    meta = {n.attrs.get("property") or n.attrs.get("name"): n.attrs.get("content", "") for n in root.walk() if n.tag == "meta"}
+    text = lambda tag: next((t for n in root.walk() if n.tag == tag and (t := " ".join(n.text(" ").split()))), None)
+    time = next((n.attrs["datetime"] for n in root.walk() if n.tag == "time" and n.attrs.get("datetime")), None)
+    seen = _date.search(root.text(" "))
+    return {"title": meta.get("og:title") or text("h1") or text("title"), "published": meta.get("article:published_time") or meta.get("date") or time or (seen.group() if seen else None)}
+
+
+def related_links(html: str, base: str) -> list[str]:
+    """Links below the page's own path on its host, without fragment and query, distinct and sorted; the page itself is none."""
+    own = urlsplit(base)
+    prefix = own.path.rstrip("/") + "/"
+    out = set()
+    for link in links(html, base):
+        u = urlsplit(link)
+        if u.netloc == own.netloc and u.path.startswith(prefix) and u.path.rstrip("/") != own.path.rstrip("/"):
+            out.add(f"{u.scheme}://{u.netloc}{u.path}")
+    return sorted(out)
+
+
 def _mapped(df: DataFrame, key: str, html: str, others: list[str], kind: str, arrow: pa.DataType, f: Callable) -> DataFrame:
     """(key, out): f of each page's html and other columns; null html gives null. One unreadable page doesn't end the job: it gives null."""
 
@@ -189,3 +271,21 @@ def page_links(df: DataFrame, key: str, html: str = "html", base: str = "url") -
 def page_tables(df: DataFrame, key: str, html: str = "html") -> DataFrame:
     """(key, pos, text)."""
     return _mapped(df, key, html, [], "array<string>", pa.list_(pa.string()), tables).select(key, F.posexplode("out").alias("pos", "text"))
+
+
+def page_content(df: DataFrame, key: str, html: str = "html", selectors: tuple[str, ...] = CONTENT) -> DataFrame:
+    """(key, text, title, published)."""
+    item = pa.struct([("text", pa.string()), ("title", pa.string()), ("published", pa.string())])
+    found = _mapped(df, key, html, [], "struct<text:string,title:string,published:string>", item, lambda h: {"text": content_text(h, selectors), **metadata(h)})
+    return found.select(key, "out.*")
+
+
+def page_heading_sections(df: DataFrame, key: str, html: str = "html") -> DataFrame:
+    """(key, pos, heading, body)."""
+    item = pa.struct([("heading", pa.string()), ("body", pa.string())])
+    return _mapped(df, key, html, [], "array<struct<heading:string,body:string>>", pa.list_(item), heading_sections).select(key, F.posexplode("out").alias("pos", "s")).select(key, "pos", "s.*")
+
+
+def page_related(df: DataFrame, key: str, html: str = "html", base: str = "url") -> DataFrame:
+    """(key, link)."""
+    return _mapped(df, key, html, [base], "array<string>", pa.list_(pa.string()), lambda h, b: related_links(h, b or "")).select(key, F.explode("out").alias("link"))

@@ -16,6 +16,7 @@ from doclathe.operators import incremental as I
 from doclathe.operators import jsonops as J
 from doclathe.operators import matching as M
 from doclathe.operators import records as R
+from doclathe.operators import report as RP
 from doclathe.operators import store as S
 from doclathe.operators import validation as V
 from doclathe.plans.text_queries import has, lit, n_words, strip, sub, upper, words
@@ -207,6 +208,16 @@ def q_html_blocks(spark, d):
     return H.page_blocks(table(spark, d, "scrape_results"), "scrape_id").select("scrape_id", "pos", "heading", "heading_level", F.md5("text").alias("md5"))
 
 
+@query()
+def q_html_content(spark, d):
+    return H.page_content(table(spark, d, "scrape_results"), "scrape_id").select("scrape_id", "title", "published", F.md5("text").alias("md5"))
+
+
+@query()
+def q_html_sections(spark, d):
+    return H.page_heading_sections(table(spark, d, "scrape_results"), "scrape_id").select("scrape_id", "pos", "heading", F.md5("body").alias("md5"))
+
+
 _links = "SELECT scrape_id, url, (i - 1)::INT AS pos, l[i] AS h FROM (SELECT *, unnest(range(1, 1 + len(l))) AS i FROM (SELECT scrape_id, url, regexp_extract_all(html, '<a href=\"([^\"]*)\"', 1) AS l FROM scrape_results))"
 
 
@@ -487,19 +498,20 @@ def q_resequence(spark, d):
 
 @query("SELECT snapshot_no, rule_id, title, count(*) AS n FROM rule_snapshots WHERE category IN ('parking', 'booking', 'dog') AND (contains(lower(title), 'battery') OR contains(lower(description), 'battery')) GROUP BY ALL")
 def q_rule_browse(spark, d):
-    t = table(spark, d, "rule_snapshots").where(F.col("category").isin(*_CATEGORIES) & (F.contains(F.lower("title"), F.lit("battery")) | F.contains(F.lower("description"), F.lit("battery"))))
-    return t.groupBy("snapshot_no", "rule_id", "title").agg(F.count("*").alias("n"))
+    found = RP.browse(table(spark, d, "rule_snapshots"), {"category": _CATEGORIES}, "Battery", ["title", "description"])
+    return found.groupBy("snapshot_no", "rule_id", "title").agg(F.count("*").alias("n"))
 
 
 @query(f'WITH {_issue_sql} SELECT entity_id, "check", message, count(*) AS n FROM i WHERE severity = \'warning\' AND "check" IN (\'service_structure\', \'duplicate_types\') GROUP BY ALL')
 def q_issue_browse(spark, d):
-    return _issues(spark, d).where(F.col("severity").isin("warning") & F.col("check").isin("service_structure", "duplicate_types")).groupBy("entity_id", "check", "message").agg(F.count("*").alias("n"))
+    found = RP.browse(_issues(spark, d), {"severity": ["warning"], "check": ["service_structure", "duplicate_types"]})
+    return found.groupBy("entity_id", "check", "message").agg(F.count("*").alias("n"))
 
 
 @query("SELECT entity_id, updated_at, count(*) AS n FROM clean_entities WHERE entity_type IN ('airport') AND contains(lower(entity_name), 'south') GROUP BY ALL")
 def q_store_browse(spark, d):
-    t = table(spark, d, "clean_entities").where(F.col("entity_type").isin("airport") & F.contains(F.lower("entity_name"), F.lit("south")))
-    return t.groupBy("entity_id", "updated_at").agg(F.count("*").alias("n"))
+    found = RP.browse(table(spark, d, "clean_entities"), {"entity_type": ["airport"]}, "south", ["entity_name"])
+    return found.groupBy("entity_id", "updated_at").agg(F.count("*").alias("n"))
 
 
 @query(f'WITH {_issue_sql}, k AS (SELECT eid, max(updated_at) AS updated_at FROM e GROUP BY eid) SELECT i.entity_id, k.updated_at, count(*) AS n FROM i LEFT JOIN k ON k.eid = i.entity_id GROUP BY ALL')
@@ -522,17 +534,31 @@ def q_regulation_sources(spark, d):
 
 @query("SELECT s.id, CASE WHEN c.n > 0 THEN 'Processed' WHEN p.n > 0 THEN 'Partial' ELSE 'Pending' END AS status, coalesce(c.n, 0) AS segments, split_part(s.url, '/', 3) AS website FROM sources s LEFT JOIN (SELECT source_id, count(*) AS n FROM semantic_chunks GROUP BY 1) c ON c.source_id = s.id LEFT JOIN (SELECT source_id, count(*) AS n FROM page_texts GROUP BY 1) p ON p.source_id = s.id")
 def q_source_status(spark, d):
-    count = lambda name: table(spark, d, name).groupBy(F.col("source_id").alias("id")).agg(F.count("*").alias(name))
-    t = table(spark, d, "sources").join(count("semantic_chunks"), "id", "left").join(count("page_texts"), "id", "left")
-    status = F.when(F.col("semantic_chunks") > 0, "Processed").when(F.col("page_texts") > 0, "Partial").otherwise("Pending")
-    return t.select("id", status.alias("status"), F.coalesce("semantic_chunks", F.lit(0)).alias("segments"), T.domain(F.col("url")).alias("website"))
+    return RP.source_status(table(spark, d, "sources"), table(spark, d, "semantic_chunks"), table(spark, d, "page_texts")).select("id", "status", "segments", "website")
+
 
+@query("SELECT count(*) FILTER (WHERE c.n > 0) AS processed, count(*) FILTER (WHERE c.n IS NULL AND p.n IS NULL) AS pending, coalesce(sum(c.n), 0)::BIGINT AS segments FROM sources s LEFT JOIN (SELECT source_id, count(*) AS n FROM semantic_chunks GROUP BY 1) c ON c.source_id = s.id LEFT JOIN (SELECT source_id, count(*) AS n FROM page_texts GROUP BY 1) p ON p.source_id = s.id")
+def q_status_totals(spark, d):
+    return RP.status_totals(RP.source_status(table(spark, d, "sources"), table(spark, d, "semantic_chunks"), table(spark, d, "page_texts")))
 
-@query("SELECT category, count(*) AS n, count(DISTINCT rule_id) AS rules, count(DISTINCT source) + max((source IS NULL)::INT) AS sources FROM rule_snapshots GROUP BY category ORDER BY n DESC, min(rule_id) LIMIT 8")
+
+@query("SELECT category, count(*) AS n FROM rule_snapshots GROUP BY category ORDER BY n DESC, min(rule_id) LIMIT 8")
 def q_top_categories(spark, d):
     """A top-k report: the eight most frequent, ties by first rule."""
-    t = table(spark, d, "rule_snapshots").groupBy("category").agg(F.count("*").alias("n"), F.count_distinct("rule_id").alias("rules"), (F.count_distinct("source") + F.max(F.col("source").isNull().cast("int"))).alias("sources"), F.min("rule_id").alias("first"))
-    return t.orderBy(F.desc("n"), "first").limit(8).drop("first")
+    return RP.top_counts(table(spark, d, "rule_snapshots"), "category", "rule_id")
+
+
+@query("SELECT category, count(DISTINCT rule_id) AS rules, count(DISTINCT source) + max((source IS NULL)::INT) AS sources FROM rule_snapshots GROUP BY category")
+def q_category_counts(spark, d):
+    return table(spark, d, "rule_snapshots").groupBy("category").agg(F.count_distinct("rule_id").alias("rules"), RP.distinct_count(F.col("source")).alias("sources"))
+
+
+_MARKERS = (("lift", 0.2, "lifts"), ("oxygen", 0.5, "oxygen"), ("wheelchair", 0.8, "wheelchairs"), ("companion", 1.0, "companions"))
+
+
+@query("SELECT doc_id, CASE " + " ".join(f"WHEN contains(text, '{m}') THEN {x}" for m, x, _ in _MARKERS[::-1]) + " ELSE 0 END AS share, CASE " + " ".join(f"WHEN contains(text, '{m}') THEN '{lb}'" for m, _, lb in _MARKERS[::-1]) + " ELSE '' END AS label FROM documents")
+def q_progress(spark, d):
+    return RP.progress(table(spark, d, "documents"), _MARKERS, "doc_id", "text")
 
 
 @query("SELECT entity_type, count(*) AS n, sum(coalesce(len(services), 0))::BIGINT AS services, count(DISTINCT source_id) AS sources FROM clean_entities GROUP BY entity_type")

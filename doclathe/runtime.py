@@ -22,7 +22,7 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share. The cluster names it in spark.checkpoint.dir; a local one is made only where that is unset."""
     named = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not named:
-        if not spark.sparkContext.master.startswith("local["):
+        if not (spark.sparkContext.master == "local" or spark.sparkContext.master.startswith("local[")):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         named = tempfile.mkdtemp(prefix="doclathe-")
         spark.sparkContext.setCheckpointDir(named)

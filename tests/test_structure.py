@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from doclathe.operators import enrich as E
 from doclathe.operators import htmlops as H
 from doclathe.operators import jsonops as J
+from doclathe.operators import report as RP
 from doclathe.sources import files, paged
 from doclathe.streaming import ingest
 
@@ -50,6 +51,25 @@ def test_html(spark):
     assert rows(H.page_blocks(blocks, "id")) == [(1, 0, "Fees", 2, "A paragraph long enough."), (1, 1, "Sub", 3, "Another item long enough")]
 
 
+def test_html_content():
+    page = '<head><title>T</title><meta property="og:title" content="Own"></head><body><div>outside</div><main><h1>Head</h1><p>Text of 2024-05-06.</p><table><tr><td>1.</td><td>First rule</td></tr></table><h2>Next</h2><p>A longer text below the heading.</p></main></body>'
+    assert H.content_text(page) == "Head\n\nText of 2024-05-06.\n\n1.  First rule\n\nNext\n\nA longer text below the heading."
+    assert H.metadata(page) == {"title": "Own", "published": "2024-05-06"} and H.metadata("") == {"title": None, "published": None}
+    assert H.heading_sections(page) == [{"heading": "Next", "body": "A longer text below the heading."}]
+    assert H.heading_sections("<p>only text</p>") == [{"heading": None, "body": "only text"}] and H.heading_sections("") == []
+    assert H.related_links('<a href="/a/b/c#x">1</a><a href="/a/b/c?q">2</a><a href="/z">3</a><a href="https://o.example/a/b/d">4</a><a href="/a/b/">5</a>', "https://h.example/a/b") == ["https://h.example/a/b/c"]
+
+
+def test_report(spark):
+    logs = spark.createDataFrame([(1, "start ... half"), (2, "start"), (3, ""), (4, None)], "run int, output string")
+    got = {r.run: (r.share, r.label) for r in RP.progress(logs, [("start", 0.1, "a"), ("half", 0.5, "b")]).collect()}
+    assert got == {1: (0.5, "b"), 2: (0.1, "a"), 3: (0.0, ""), 4: (0.0, "")}
+    df = spark.createDataFrame([("a", "X"), ("b", None), ("a", "y"), (None, "x")], "k string, t string")
+    assert rows(RP.browse(df, {"k": ["a"]}, "X", ["t"])) == [("a", "X")] and RP.browse(df, {"k": []}).count() == 4
+    assert rows(RP.top_counts(df, "k", "t", 1)) == [("a", 2)] and [r.k for r in RP.first_values(df, "k").collect()] == ["a", "b"]
+    assert df.agg(RP.distinct_count(F.col("k")).alias("n")).first().n == 3
+
+
 def test_backends(spark):
     class Flaky:
         def __init__(self):
