@@ -49,6 +49,12 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return a.join(b, "class").where("chunk_a < chunk_b").select("chunk_a", "chunk_b")
 
 
+def p4_rules(spark: SparkSession, d: str) -> DataFrame:
+    """Classes of the distinct rule descriptions that share 85 % of their words: (text_id, class)."""
+    texts = table(spark, d, "rule_snapshots").select(F.lower(F.trim("description")).alias("text")).distinct().select(F.xxhash64("text").alias("text_id"), "text")
+    return near_duplicate_classes(texts, "text_id", "text", similarity=0.85).select(F.col("id").alias("text_id"), "class")
+
+
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return residue_rows(table(spark, d, "scrape_results")).select("scrape_id")
 
@@ -65,7 +71,7 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
     return spam_shares(table(spark, d, "documents")).where("share > 0.5").select("doc_id")
 
 
-QUERIES: dict[str, Query] = {"p1_found": p1_found, "p2_found": p2_found, "p2_matches": p2_matches, "p3_found": p3_found, "p4_found": p4_found, "p7_found": p7_found, "p8_ids": p8_ids, "p9_found": p9_found, "p10_found": p10_found}
+QUERIES: dict[str, Query] = {"p1_found": p1_found, "p2_found": p2_found, "p2_matches": p2_matches, "p3_found": p3_found, "p4_found": p4_found, "p4_rules": p4_rules, "p7_found": p7_found, "p8_ids": p8_ids, "p9_found": p9_found, "p10_found": p10_found}
 
 # --- SQL of the queries above; the others are tested against brute force or held-out rows in tests/llm ---
 
