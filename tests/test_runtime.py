@@ -34,7 +34,7 @@ def test_no_folder_on_a_cluster_is_an_error(spark, monkeypatch):
 
 
 def test_broadcast_only_what_is_small(spark):
-    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    plan = lambda df: df._jdf.queryExecution().analyzed().toString()
     assert "broadcast" in plan(runtime.small(spark.range(5), 5)).lower() and "broadcast" not in plan(runtime.small(spark.range(6), 5)).lower()
 
 
