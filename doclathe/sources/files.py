@@ -23,6 +23,13 @@ def local_documents(spark: SparkSession, folder: str, glob: str = "*.{pdf,txt,ht
     return rows.select("path", "kind", text.alias("text"), F.when(F.col("kind") == "pdf", "needs a PDF reader").when(~F.col("kind").isin("txt", "html", "json"), "unknown kind").alias("problem"))
 
 
+def file_hashes(spark: SparkSession, folder: str, glob: str = "*.json") -> DataFrame:
+    """(source, content_hash) of the files in a folder: the name without extension, and SHA-256 of the bytes. Partial files are left out."""
+    found = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder)
+    name = F.regexp_extract("path", r"([^/]+)\.[A-Za-z0-9]+$", 1)
+    return found.select(name.alias("source"), F.sha2("content", 256).alias("content_hash")).where(~F.col("source").endswith("_partial"))
+
+
 def pdf_lines(words: DataFrame, per: list[str], x: str = "x0", top: str = "top", word: str = "word") -> DataFrame:
     """(per, line_no, line): words of a PDF page put into lines by their rounded height, and in reading order."""
     rows = words.groupBy(*per, F.round(F.col(top), 1).alias("y")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(x, word))), lambda s: s[word]), " ").alias("line"))

@@ -1,5 +1,6 @@
 """JSON, HTML, enrichment, streams and sources."""
 
+import hashlib
 import json
 import os
 
@@ -127,6 +128,7 @@ def test_files(spark, tmp_path):
     (chunks / "x_partial.json").write_text(json.dumps([{"id": "2"}]))
     (chunks / "empty.json").write_text("[]")
     assert [r.id for r in files.chunk_files(spark, str(chunks)).collect()] == ["1"]
+    assert rows(files.file_hashes(spark, str(chunks)).where("source = 'empty'")) == [("empty", hashlib.sha256(b"[]").hexdigest())] and files.file_hashes(spark, str(chunks)).count() == 2
     words = spark.createDataFrame([(1, 5.0, 10.02, "b"), (1, 1.0, 10.0, "a"), (1, 1.0, 30.0, "c")], "page int, x0 double, top double, word string")
     assert rows(files.pdf_lines(words, ["page"]).select("line_no", "line")) == [(0, "a b"), (1, "c")]
 
@@ -137,3 +139,9 @@ def test_paged_source(spark):
     got = spark.read.format("paged_test").option("urls", json.dumps(["u1", "loop"])).load()
     assert rows(got) == [("loop", '{"id": 3}'), ("u1", '{"id": 1}'), ("u1", '{"id": 2}')]
     assert paged.resource_kind("/hc/en/sections/123-a-b") == ("sections", "123")
+
+
+def test_command_line(capsys):
+    from doclathe.__main__ import main
+
+    assert main([]) == 0 and "chunk_counts" in capsys.readouterr().out and main(["none"]) == 1
