@@ -127,14 +127,22 @@ def test_rules_and_model_on_a_page():
     assert "".join("BcX"[v] for v in labels) == "cccccBBBBBXXXBcc"
 
 
+def test_known_headings_end_a_box():
+    page = ["The lift in hall two is open to all passengers every day.", "Read next", "Fees", "1.2.2025 Seats", "La bord", "Pasagerii sunt rugați să vină la lift în ziua călătoriei."]
+    share = {"fees": 0.1, "~fees": 0.1, "la bord": 0.1}
+    assert page_rules.rule_labels(page, None) == [0, 2, 2, 2, 2, 0]
+    assert page_rules.rule_labels(page, None, lambda k: share.get(k, 0.0), 1000) == [0, 2, 2, 2, 0, 0]
+    assert page_rules.undecorated("1.2.2025 Fees") == page_rules.undecorated("Fees ... Read more") == "fees" and page_rules.undecorated("Fees") is None
+
+
 def test_held_out_agreement(spark, data):
     df = spark.read.parquet(f"{data}/raw_pages.parquet")
     pages = df.select(F.col("page_id").alias("id"), F.col("source").alias("url"), "text").where(F.col("text").rlike(r"\S"))
-    shares = page_body.line_shares(pages)
-    model = page_body.fit(pages, shares, 20)
+    shares, count = page_body.line_shares(pages)
+    model = page_body.fit(pages, shares, count, 20)
     held = pages.orderBy(F.xxhash64("id"), "id").offset(20).collect()
-    xs = [page_rules.features(page_body.split(r.text)[1], r.url, lambda k: shares.get(k, 0.0)) for r in held]
-    truth = np.concatenate([page_rules.rule_labels(page_body.split(r.text)[1], r.url) for r in held])
+    xs = [page_rules.features(page_body.split(r.text)[1], r.url, lambda k: shares.get(k, 0.0), count) for r in held]
+    truth = np.concatenate([page_rules.rule_labels(page_body.split(r.text)[1], r.url, lambda k: shares.get(k, 0.0), count) for r in held])
     assert (np.concatenate(page_body.decode(model, xs)) == truth).mean() > 0.97
 
 
