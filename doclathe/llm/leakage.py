@@ -18,6 +18,9 @@ _U = np.uint64
 SHINGLE = 5
 #: A document holds an item if shingles they share cover this share of the passage's words, or that share of the question's.
 PASSAGE, QUESTION = 0.4, 0.75
+#: Words of a piece: shared shingles count only where they lie together, along one alignment of item and document (up to SHIFT words of edits between
+#: neighbours), and cover so many words. Phrases that texts of one kind have in common are shorter.
+PIECE, SHIFT = 10, 6
 #: Size classes of documents by shingles; a longer document is searched in overlapping windows of the last class's size.
 CLASSES = (64, 128, 256, 512)
 STRIDE = 384
@@ -102,8 +105,13 @@ def search(needles: Needles, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     pair = doc[i] * width + needles.needle[j]
     at = np.minimum(np.searchsorted(candidates, pair), len(candidates) - 1)
     ok = candidates[at] == pair
-    at, start = at[ok], needles.place[j][ok]
-    covered = np.unique((at[:, None] * (1 << 32) + start[:, None] + np.arange(SHINGLE)).ravel()) >> 32
+    at, start, shift = at[ok], needles.place[j][ok], (place[i] - needles.place[j])[ok]
+    order = np.lexsort((shift, at))
+    at, start, shift = at[order], start[order], shift[order]
+    piece = np.cumsum(np.r_[True, (at[1:] != at[:-1]) | (shift[1:] - shift[:-1] > SHIFT)]) - 1
+    words_of = np.unique((piece[:, None] * (1 << 32) + start[:, None] + np.arange(SHINGLE)).ravel()) >> 32
+    long = (np.bincount(words_of, minlength=piece[-1] + 1) >= PIECE)[piece]
+    covered = np.unique((at[long, None] * (1 << 32) + start[long, None] + np.arange(SHINGLE)).ravel()) >> 32
     share = np.bincount(covered, minlength=len(candidates)) / needles.words[candidates % width]
     found = candidates[share >= needles.least[candidates % width] - 1e-9]
     return found // width, found % width
@@ -112,7 +120,7 @@ def search(needles: Needles, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 def leaked_items(docs: DataFrame, items: DataFrame, doc: str = "doc_id", text: str = "text", item: str = "item_id", passage: str = "passage", question: str = "question") -> DataFrame:
     """(doc, item): every document that holds at least PASSAGE of the words of an item's passage in runs of SHINGLE words or more, or its whole question.
 
-    Case, punctuation, spacing and layout don't count, and a changed word costs only itself where five words stand on both its sides. Candidates
+    Words count in pieces of PIECE words or more. Case, punctuation, spacing and layout don't count, and a changed word costs only itself where five words stand on both its sides. Candidates
     are windows of documents whose minima meet an item's: with at most one shingle a bin, each shared shingle is a minimum with a chance of at
     least 0.63, so a run of 16 words (12 shingles) is missed with a chance below 1e-5. Null and short texts, and items of fewer than SHINGLE
     words, are never found. Repeated item ids give one row. No shuffle of documents; the items are collected ITEMS at a time, whole and in a

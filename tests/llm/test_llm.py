@@ -342,6 +342,15 @@ def test_leaks_against_brute_force(spark):
     assert leakage.leaked_items(dd.where("false"), di).count() == 0 == leakage.leaked_items(dd, di.where("false")).count()
 
 
+def test_common_phrases_are_no_leak(spark):
+    sentences = [f"by article {i} whoever stored the {w} at {w}ville had already paid for the {w} quay" for i, w in enumerate(["red", "blue", "old", "new", "wet"])]
+    item = " ".join(sentences)
+    other = " and then ".join(f"by article 9{i} whoever stored the {w} thing at town {i} had already paid for the rest of it" for i, w in enumerate(["green", "grey", "big", "low", "dry"]))
+    items = spark.createDataFrame([("I", item, None)], "item_id string, passage string, question string")
+    docs = spark.createDataFrame([(1, other), (2, "so " + item[: len(item) // 2] + " end")], "doc_id long, text string")
+    assert rows(leakage.leaked_items(docs, items)) == [(2, "I")]
+
+
 def test_several_passes_give_the_same(spark, monkeypatch):
     docs = spark.createDataFrame([(1, "one two three four five six seven eight nine ten")], "doc_id long, text string")
     items = spark.createDataFrame([(f"I{i}", "one two three four five six seven eight nine ten", None) for i in range(7)], "item_id string, passage string, question string")
