@@ -14,7 +14,17 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 200_000
 
 
+def visible_to_workers(spark: SparkSession) -> None:
+    """Let Python workers find this package where it lies, if it isn't installed."""
+    here = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    held = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if here not in held:
+        env["PYTHONPATH"] = os.pathsep.join([here, *held])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    visible_to_workers(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -87,4 +97,4 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(parallelism(spark)) if size < SPREAD_BYTES * spark.sparkContext.defaultParallelism else df
 
 
-__all__ = ["BROADCAST_ROWS", "materialize", "parallelism", "release", "shared_dir", "small", "spread", "table"]
+__all__ = ["BROADCAST_ROWS", "materialize", "parallelism", "release", "shared_dir", "small", "spread", "table", "visible_to_workers"]
