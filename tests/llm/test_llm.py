@@ -61,7 +61,7 @@ def test_blocks_join_consecutive_lines(spark):
 
 
 def test_admm_against_grid():
-    body = np.array([[1, 0, 0.5, 0.5, 0, 1, 0, 0, 0, 0, 0, 0, 1], [0, 1, 0, 0.2, 0, 0, 1, 0, 1, 0, 1, 0, 1], [0, 0, 0.9, 0.9, 0.9, 0.9, 0, 0, 0, 0, 0, 0, 1]], float)
+    body = np.array([[1, 0, 0.5, 0.5, 0, 1, 0, 0, 0, 0, 0, 0, 0, 1], [0, 1, 0, 0.2, 0, 0, 1, 1, 0, 1, 0, 1, 0, 1], [0, 0, 0.9, 0.9, 0.9, 0.9, 0, 0, 0, 0, 0, 0, 0, 1]], float)
     pair, group = np.array([0, 1, 1]), np.array([0, 0])
     w_for, w_con, k = np.array(list(linkage.FOR.values())), np.array(list(linkage.AGAINST.values())), len(linkage.FOR)
 
