@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import os
 import tempfile
 import uuid
@@ -77,6 +78,12 @@ def release(*dfs: DataFrame) -> None:
             _remove(df.sparkSession, path)
 
 
+def drop_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of ended steps now, instead of when the driver happens to collect its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """A materialised df with a broadcast hint if it holds at most so many rows, else without (the join then shuffles, and AQE splits hot keys)."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
@@ -97,4 +104,4 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(parallelism(spark)) if size < SPREAD_BYTES * spark.sparkContext.defaultParallelism else df
 
 
-__all__ = ["BROADCAST_ROWS", "materialize", "parallelism", "release", "shared_dir", "small", "spread", "table", "visible_to_workers"]
+__all__ = ["BROADCAST_ROWS", "drop_shuffles", "materialize", "parallelism", "release", "shared_dir", "small", "spread", "table", "visible_to_workers"]

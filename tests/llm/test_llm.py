@@ -218,6 +218,18 @@ def test_thinned_buckets_keep_groups():
     assert (len(i) == 1) == (which[0] == which[1]) and len(j) == len(i)
 
 
+def test_pairs_at_the_threshold_are_met_in_any_order(spark):
+    rng = random.Random(8)
+    vocabulary, data = [f"w{i}" for i in range(5000)], []
+    for i in range(600):
+        a = rng.sample(vocabulary, 100)
+        b = [f"new{rng.randrange(9**9)}" if k in set(range(0, 100, 5)) else w for k, w in enumerate(a)]
+        rng.shuffle(b) if i % 2 else None
+        data += [(2 * i, " ".join(a)), (2 * i + 1, " ".join(b))]
+    found = {r["id"] for r in near_duplicate_classes(spark.createDataFrame(data, "chunk_no long, text string")).collect()}
+    assert all(sum(2 * i in found for i in range(odd, 600, 2)) >= 0.95 * 300 for odd in (0, 1))
+
+
 def test_bounds_grow_and_words():
     least, certain = bounds(2 / 3, 0.002)
     assert least == sorted(least) and 32 < least[0] < 64 and least[-1] < certain <= 192
