@@ -27,6 +27,8 @@ PASSES, BANDS, WIDTH = 3, 10, 6
 BATCHES, LATER = 3, 3
 #: Rows of one bucket that are all compared with each other at once; of larger buckets, blocks of so many, then what stands for each block.
 BLOCK = 512
+#: Rows of a thinned bucket outside its largest class, and rows of any class, that one task compares.
+CHUNK, PART = 2048, 65536
 
 _ROW = pa.schema([("id", pa.int64()), ("bag_a", pa.int64()), ("bag_b", pa.int64()), ("n", pa.int32()), *((f"s{i}", pa.int64()) for i in range(BATCHES + LATER)), *((f"keys{p}", pa.list_(pa.int64())) for p in range(PASSES))])
 _BAND = pa.schema([("key", pa.int64()), ("id", pa.int64()), ("n", pa.int32()), *((f"s{i}", pa.int64()) for i in range(BATCHES))])
@@ -128,6 +130,10 @@ def _pair_batch(pairs: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.Recor
         yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], schema=_PAIR)
 
 
+def _thinned(keys: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(keys), pa.nulls(len(keys), pa.int64())], schema=_PAIR)
+
+
 def _groups(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
     return start, np.diff(np.r_[start, len(key)])
@@ -135,7 +141,7 @@ def _groups(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _bands(batches: Iterator[pa.RecordBatch], similarity: float, miss: float) -> Iterator[pa.RecordBatch]:
     """A row per text and band. A key with more than BLOCK rows in one batch is thinned before it travels: only the rows that stand for it go on,
-    the links of the others travel as rows with n = -1 that hold a pair."""
+    the links of the others travel as rows with n = -1 that hold a pair, and a row with n = -2 says that the key was thinned."""
     least, certain = bounds(similarity / (2 - similarity), miss)
     for batch in batches:
         if not batch.num_rows:
@@ -150,6 +156,9 @@ def _bands(batches: Iterator[pa.RecordBatch], similarity: float, miss: float) ->
             pairs, stand = _large([r[s : s + n] for r in rows], least, certain, similarity)
             for o, r in zip(out, stand):
                 o.append(r)
+            if len(stand[0]) < n:
+                for o, r in zip(out, [rows[0][s : s + 1], rows[0][s : s + 1], np.full(1, -2, np.int32), *[np.zeros(1, _U)] * BATCHES]):
+                    o.append(r)
             for a, b in pairs:
                 fill = np.zeros(len(a), _U)
                 for o, r in zip(out, [mix(a.view(_U) ^ mix(b.view(_U))).view(np.int64), a, np.full(len(a), -1, np.int32), b.view(_U), *[fill] * (BATCHES - 1)]):
@@ -159,7 +168,8 @@ def _bands(batches: Iterator[pa.RecordBatch], similarity: float, miss: float) ->
 
 
 def _links(batches: Iterator[pa.RecordBatch], similarity: float, miss: float) -> Iterator[pa.RecordBatch]:
-    """Candidate pairs of one partition sorted by key. Holds the last key's rows between batches, thinned when they are many."""
+    """Candidate pairs of one partition sorted by key, and (key, null) for every thinned key. Holds the last key's rows between batches, thinned when
+    they are many."""
     least, certain = bounds(similarity / (2 - similarity), miss)
     held: list[np.ndarray] | None = None
     for batch in batches:
@@ -169,22 +179,53 @@ def _links(batches: Iterator[pa.RecordBatch], similarity: float, miss: float) ->
         if made.any():
             yield from _pair_batch([(rows[1][made], rows[3][made].view(np.int64))])
             rows = [r[~made] for r in rows]
+        told = rows[2] == -2
+        if told.any():
+            yield _thinned(rows[1][told])
+            rows = [r[~told] for r in rows]
         rows = rows if held is None else [np.concatenate(x) for x in zip(held, rows)]
         if not len(rows[0]):
             continue
         start, size = _groups(rows[0])
         held = [r[start[-1] :] for r in rows]
         for s, n in zip(start[:-1][size[:-1] > BLOCK], size[:-1][size[:-1] > BLOCK]):
-            yield from _pair_batch(_large([r[s : s + n] for r in rows], least, certain, similarity)[0])
+            pairs, stand = _large([r[s : s + n] for r in rows], least, certain, similarity)
+            yield from _pair_batch(pairs)
+            if len(stand[0]) < n:
+                yield _thinned(rows[0][s : s + 1])
         few = np.repeat((size <= BLOCK) & (size > 1), size)
         few[start[-1] :] = False
         i, j, _ = _within(part := [r[few] for r in rows], least, similarity)
         yield from _pair_batch([(part[1][i], part[1][j])])
         if len(held[0]) > 4 * BLOCK:
+            before = len(held[0])
             pairs, held = _large(held, least, certain, similarity)
             yield from _pair_batch(pairs)
+            if len(held[0]) < before:
+                yield _thinned(held[0][:1])
     if held is not None and len(held[0]) > 1:
-        yield from _pair_batch(_large(held, least, certain, similarity)[0])
+        pairs, stand = _large(held, least, certain, similarity)
+        yield from _pair_batch(pairs)
+        if len(stand[0]) < len(held[0]):
+            yield _thinned(held[0][:1])
+
+
+def _across(group: pa.Table, similarity: float, miss: float) -> pa.Table:
+    """Of one task of a thinned key: the candidate pairs of an own row and another of a different class."""
+    least, _ = bounds(similarity / (2 - similarity), miss)
+    group = group.combine_chunks()
+    col = lambda c: group.column(c).to_numpy()
+    rows = [col("key"), col("id"), col("n"), *(col(f"s{i}").view(_U) for i in range(BATCHES))]
+    own, of, rest = col("own"), col("class"), col("rest")
+    mine, others, pairs = np.flatnonzero(own), np.flatnonzero(~own), [(np.zeros(0, np.int64),) * 2]
+    step = max(1, 2_000_000 // max(1, len(others)))
+    for at in range(0, len(mine), step):
+        i, j = (x.ravel() for x in np.meshgrid(mine[at : at + step], others, indexing="ij"))
+        ok = (of[i] != of[j]) & (~rest[j] | (rows[1][i] < rows[1][j]))  # two rows outside the largest class meet twice
+        i, j, _ = _agree(rows, i[ok], j[ok], least, similarity)
+        pairs.append((rows[1][i], rows[1][j]))
+    a, b = (np.concatenate(x) for x in zip(*pairs))
+    return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)}, schema=_PAIR)
 
 
 def _outlives(similarity: float, miss: float) -> Column:
@@ -225,6 +266,34 @@ def _verify(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa
         yield batch.select([0, 1]).filter(pa.array(2 * both >= similarity * total - 1e-9))
 
 
+def _rest(alone: DataFrame, thinned: DataFrame, classes: DataFrame, similarity: float, miss: float) -> DataFrame:
+    """The candidate pairs (a, b) of thinned keys whose rows lie in different classes so far. Rows of one class need no link, so each key's largest class
+    isn't compared with itself; every row outside it is compared with all rows of the key, in tasks of CHUNK by PART rows."""
+    sketch = [f"s{i}" for i in range(BATCHES)]
+    each = alone.select("id", "n", *sketch, F.explode(F.concat(*(f"keys{p}" for p in range(PASSES)))).alias("key")).join(small(thinned), "key", "left_semi")
+    named = materialize(each.join(classes.select("id", F.col("component").alias("class")), "id", "left").withColumn("class", F.coalesce("class", "id")))
+    per = named.groupBy("key", "class").agg(F.count("*").alias("c")).groupBy("key").agg(F.max_by("class", "c").alias("top"), F.sum("c").alias("all"), F.max("c").alias("most"))
+    per = materialize(per.where("all > most").select("key", "top", F.ceil(F.expr(f"(all - most) / {CHUNK}")).alias("chunks"), F.ceil(F.expr(f"all / {PART}")).alias("parts")))
+    rows = named.join(small(per), "key").withColumn("rest", F.expr("class <> top"))
+    kept = ("key", "id", "n", *sketch, "class", "rest")
+    own = rows.where("rest").select(*kept, F.expr("pmod(xxhash64(id, 1), chunks)").alias("chunk"), F.explode(F.expr("sequence(0L, parts - 1)")).alias("part"), F.lit(True).alias("own"))
+    others = rows.select(*kept, F.explode(F.expr("sequence(0L, chunks - 1)")).alias("chunk"), F.expr("pmod(xxhash64(id, 2), parts)").alias("part"), F.lit(False).alias("own"))
+    return own.unionByName(others).groupBy("key", "chunk", "part").applyInArrow(lambda task: _across(task, similarity, miss), "a long, b long").distinct()
+
+
+def _links_of(met: DataFrame, signed: DataFrame, rows: DataFrame, similarity: float, miss: float) -> DataFrame:
+    """The candidate pairs that outlive the further batches and are near by their words."""
+    sides = [signed.select(F.col("id").alias(side), *(F.col(f"s{i}").alias(f"{side}{i}") for i in range(BATCHES + LATER))) for side in "ab"]
+    pairs = materialize(met.join(sides[0], "a").join(sides[1], "b").where(_outlives(similarity, miss)).select("a", "b"))
+    named = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    tokens = rows.join(small(materialize(named)), "id", "left_semi").mapInArrow(_tokens, "id long, tokens array<long>")
+    tokens = materialize(tokens)
+    joined = pairs.join(tokens.select(F.col("id").alias("a"), F.col("tokens").alias("x")), "a").join(tokens.select(F.col("id").alias("b"), F.col("tokens").alias("y")), "b")
+    links = materialize(joined.select("a", "b", "x", "y").mapInArrow(partial(_verify, similarity=similarity), "a long, b long"))
+    release(pairs, tokens)
+    return links
+
+
 def near_duplicate_classes(df: DataFrame, key: str = "chunk_no", text: str = "text", similarity: float = SIMILARITY, miss: float = MISS) -> DataFrame:
     """(id, class): the class of every row whose text is near another's; class is the least id in it. Rows without such a neighbour are left out.
 
@@ -249,14 +318,12 @@ def near_duplicate_classes(df: DataFrame, key: str = "chunk_no", text: str = "te
         del banded, sorted_
         drop_shuffles(df.sparkSession)
     every_met = reduce(DataFrame.unionByName, met).distinct()
-    sides = [signed.select(F.col("id").alias(side), *(F.col(f"s{i}").alias(f"{side}{i}") for i in range(BATCHES + LATER))) for side in "ab"]
-    pairs = every_met.join(sides[0], "a").join(sides[1], "b").where(_outlives(similarity, miss)).select("a", "b")
-    pairs = materialize(pairs)
-    named = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    tokens = rows.join(small(materialize(named)), "id", "left_semi").mapInArrow(_tokens, "id long, tokens array<long>")
-    tokens = materialize(tokens)
-    joined = pairs.join(tokens.select(F.col("id").alias("a"), F.col("tokens").alias("x")), "a").join(tokens.select(F.col("id").alias("b"), F.col("tokens").alias("y")), "b")
-    links = joined.select("a", "b", "x", "y").mapInArrow(partial(_verify, similarity=similarity), "a long, b long")
-    joint = materialize(links.unionByName(copies.select(F.col("class").alias("a"), F.col("id").alias("b"))))
-    release(signed, pairs, tokens, *met)
+    links = _links_of(every_met.where("b is not null"), signed, rows, **wanted)
+    joint = links.unionByName(copies.select(F.col("class").alias("a"), F.col("id").alias("b")))
+    thinned = materialize(every_met.where("b is null").select(F.col("a").alias("key")))
+    if not thinned.isEmpty():
+        more = _links_of(_rest(alone, thinned, components(materialize(joint)), **wanted), signed, rows, **wanted)
+        joint = joint.unionByName(more)
+    joint = materialize(joint)
+    release(signed, *met)
     return components(joint).select("id", F.col("component").alias("class"))

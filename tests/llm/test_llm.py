@@ -230,6 +230,22 @@ def test_pairs_at_the_threshold_are_met_in_any_order(spark):
     assert all(sum(2 * i in found for i in range(odd, 600, 2)) >= 0.95 * 300 for odd in (0, 1))
 
 
+def test_hot_bucket_keeps_chains_of_edits(spark):
+    base = [f"w{i}" for i in range(100)]
+    data, far = {}, {}
+    for i in range(1200):
+        data[i] = [*base[:-1], f"own{i}"]
+    for k in range(150):
+        step = [*base[:-2], f"b{k}", f"c{k}"]
+        data[2000 + k], data[4000 + k] = step, [f"d{k}x{j}" if j % 5 == 0 and j < 95 else w for j, w in enumerate(step)]
+        far[4000 + k] = 2000 + k
+    near = {a: [b for b in data if b != a and 2 * len({*data[a]} & {*data[b]}) >= 0.8 * 200] for a in far}
+    assert near == {a: [b] for a, b in far.items()}
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in data.items()], "chunk_no long, text string")
+    got = {r["id"]: r["class"] for r in near_duplicate_classes(df).collect()}
+    assert all(got.get(i) == 0 for i in data if i < 4000) and sum(got.get(a) == 0 for a in far) >= 0.95 * len(far)
+
+
 def test_bounds_grow_and_words():
     least, certain = bounds(2 / 3, 0.002)
     assert least == sorted(least) and 32 < least[0] < 64 and least[-1] < certain <= 192
