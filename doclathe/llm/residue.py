@@ -1,7 +1,8 @@
-"""Template residue, filler and error pages: SimHash tables over passages, trusted labels propagated through their components."""
+"""Template residue, filler and error pages: shared prefixes of 4-grams and SimHashes of passages, trusted labels propagated through their components."""
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -84,6 +85,17 @@ def table_keys(sim: np.ndarray) -> np.ndarray:
     return np.stack([mix(block[i] * _U(1 << 20) + block[j] + _U((i * BLOCKS + j) << 45)) for i, j in combinations(range(BLOCKS), 2)], axis=1).view(np.int64)
 
 
+def prefixes(masks: list[str]) -> list[list[int]]:
+    """Of each passage the 4-grams of least hash, one more than it may lack of a near one: passages whose share of common 4-grams reaches SIMILARITY
+    have one of these in common, so no near pair is missed."""
+    out = []
+    for m in masks:
+        grams = list(_grams(m))
+        h = mix(pd.util.hash_array(np.array(grams, dtype=object), categorize=False)).view(np.int64)
+        out.append(np.sort(h)[: len(grams) - math.ceil(SIMILARITY * len(grams) - 1e-9) + 1].tolist())
+    return out
+
+
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of each row with anything to judge: whether the rules alone make it residue, and its passages' keys, labels and words."""
     unit = pa.struct([("key", pa.int64()), ("label", pa.int8()), ("words", pa.int32())])
@@ -111,7 +123,7 @@ def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     best[mask] = max(best.get(mask, OTHER), mark)
         masks = list(best)
         sim = simhashes(masks)
-        yield pa.RecordBatch.from_arrays([pa.array(_keys(masks)), pa.array(masks, pa.string()), pa.array(sim.view(np.int64)), pa.array(list(best.values()), pa.int8()), pa.array(table_keys(sim).tolist() if masks else [], pa.list_(pa.int64()))], names=["key", "mask", "sim", "label", "tables"])
+        yield pa.RecordBatch.from_arrays([pa.array(_keys(masks)), pa.array(masks, pa.string()), pa.array(sim.view(np.int64)), pa.array(list(best.values()), pa.int8()), pa.array(prefixes(masks), pa.list_(pa.int64()))], names=["key", "mask", "sim", "label", "tables"])
 
 
 def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

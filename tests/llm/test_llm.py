@@ -300,6 +300,19 @@ def test_simhash_tables_meet_within_six_bits():
         assert (residue.table_keys(sim) == residue.table_keys(flip)).any(axis=1).all()
 
 
+def test_every_near_passage_is_met():
+    rng = random.Random(5)
+    vocabulary = ["lift", "ramp", "desk", "page", "error", "missing", "server", "please", "return", "later", "access", "blocked", "service", "closed", "shortly", "today"]
+    masks = [" ".join(rng.choices(vocabulary, k=rng.randrange(6, 14))) for _ in range(400)]
+    edits = [" ".join(rng.choice(vocabulary) if i == at else w for i, w in enumerate(m.split())) for m in masks for at in [rng.randrange(len(m.split()))]]
+    a, b = map(residue.simhashes, (masks, edits))
+    like = [len(residue._grams(x) & residue._grams(y)) >= residue.SIMILARITY * len(residue._grams(x) | residue._grams(y)) for x, y in zip(masks, edits)]
+    near = [i for i in np.flatnonzero(np.array(like)) if 0 < int(a[i] ^ b[i]).bit_count() <= residue.HAMMING]
+    tables = [[{*k} for k in keys] for keys in map(residue.prefixes, (masks, edits))]
+    assert len(near) > 30 and all(tables[0][i] & tables[1][i] for i in near)
+    assert not (residue.table_keys(a) == residue.table_keys(b)).any(axis=1)[near].all()
+
+
 def test_visible():
     assert visible.visible("<head><title>t</title></head><nav>menu</nav><p>One <b>two</b></p><div style='display: none'>x</div><footer>f</footer>") == "One two"
     assert visible.visible("<nav>menu</nav><noscript>Turn on scripts</noscript>") == "Turn on scripts"
