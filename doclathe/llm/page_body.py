@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from doclathe.llm.crf import Crf, train
 from doclathe.llm.page_rules import BODY, FEATURES, SHARES, features, rule_labels, simple, undecorated
-from doclathe.runtime import spread
+from doclathe.runtime import materialize, release, spread
 
 #: Pages that the model is trained on: those with the least hash of their id.
 SAMPLE = 800
@@ -37,11 +37,16 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def line_shares(pages: DataFrame) -> tuple[dict[str, float], int]:
-    """(share, pages): the share of all pages on which a line stands, for lines on at least SHARES[0] of them; with ~ before it, in a teaser's dress. There are at most 1 / SHARES[0] times as many such lines
+    """(share, pages): the share of all pages on which a line stands, for lines on at least SHARES[0] of them; with ~ before it, in a teaser's dress, which
+    is counted down to a single page where the plain line is one of these. There are at most 1 / SHARES[0] times as many such lines
     as a mean page has, whatever the number of pages; that bounds what the driver gets and sends."""
     n = pages.count()
-    counts = pages.select("text").mapInArrow(_counts, "line string, n long").groupBy("line").agg(F.sum("n").alias("n"))
-    return {r.line: r.n / n for r in counts.where(F.col("n") >= SHARES[0] * n).where("n > 1").collect()}, n
+    counts = materialize(pages.select("text").mapInArrow(_counts, "line string, n long").groupBy("line").agg(F.sum("n").alias("n")))
+    known = counts.where(F.col("n") >= SHARES[0] * n).where("n > 1")
+    dressed = counts.where("line like '~%'").join(known.select(F.concat(F.lit("~"), "line").alias("line")), "line", "left_semi")
+    shares = {r.line: r.n / n for r in known.unionByName(dressed).collect()}
+    release(counts)
+    return shares, n
 
 
 def fit(pages: DataFrame, shares: dict[str, float], count: int, sample: int = SAMPLE) -> Crf:

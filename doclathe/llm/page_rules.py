@@ -47,12 +47,13 @@ def undecorated(s: str) -> str | None:
     return simple(bare) if bare != s.strip() and len(s.split()) <= 14 else None
 
 
-#: A short line that stands plain on so many pages, and on none in a teaser's dress, is a heading and no teaser.
-PLAIN = 10
+#: A short line that stands plain on this share of all pages, and on none in a teaser's dress, is a heading and no teaser; under 4,000 pages the share
+#: is less than EVIDENCE pages, which are too few to tell, so that many are asked for.
+PLAIN, EVIDENCE = 0.0025, 10
 
 
 def is_plain(key: str, share: Callable[[str], float], pages: int) -> bool:
-    return share(key) * pages >= PLAIN and share("~" + key) == 0
+    return share(key) >= PLAIN and share(key) * pages >= EVIDENCE and share("~" + key) == 0
 
 
 def slug(url: str | None) -> str:

@@ -135,6 +135,15 @@ def test_known_headings_end_a_box():
     assert page_rules.undecorated("1.2.2025 Fees") == page_rules.undecorated("Fees ... Read more") == "fees" and page_rules.undecorated("Fees") is None
 
 
+def test_a_single_teaser_counts_against_a_heading(spark):
+    data = [(i, "\n".join(["La bord"] * (i < 30) + ["Echipaj"] * (i < 40) + ["1.2.2025 La bord"] * (i == 500) + [f"Own {i}"])) for i in range(1000)]
+    shares, count = page_body.line_shares(spark.createDataFrame(data, "id long, text string"))
+    known = lambda k: shares.get(k, 0.0)
+    assert shares["~la bord"] == 0.001 and shares["la bord"] == 0.03
+    assert not page_rules.is_plain("la bord", known, count) and page_rules.is_plain("echipaj", known, count)
+    assert not page_rules.is_plain("x", lambda k: 0.0012 if k == "x" else 0.0, 10_000)
+
+
 def test_held_out_agreement(spark, data):
     df = spark.read.parquet(f"{data}/raw_pages.parquet")
     pages = df.select(F.col("page_id").alias("id"), F.col("source").alias("url"), "text").where(F.col("text").rlike(r"\S"))
