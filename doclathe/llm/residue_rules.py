@@ -3,6 +3,13 @@
 from __future__ import annotations
 
 import re
+from functools import lru_cache
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
+from doclathe.llm.words import distinct, words
 
 # The ways in which common template languages mark a value to be filled in.
 _IDENT = r"(?:[a-z]\w*(?:[._]\w+)+|[a-z]+[A-Z]\w*|[A-Z][A-Z0-9]*(?:[._][A-Z0-9]+)+|[A-Z]{3,}|date|name|city|phone|station|airport|email|time|title|value|country|code)"
@@ -39,22 +46,21 @@ MISSING = (
     r"(?<![\w-])(?:TBD|TODO|FIXME)\b(?![\w-])",
     r"\bX{4,}\b",
 )
-# Sentences that fill a layout until content comes, in the languages at hand.
+# Sentences that fill a layout until content comes, in the languages at hand: how such a passage begins, and what stands anywhere in one.
 FILLER = (
-    r"\blorem ipsum\b",
-    r"^\W*(?:this is )?(?:a )?(?:dummy|sample|placeholder|filler|example) (?:text|paragraph|copy|content)\b",
-    r"^\W*(?:your|the) (?:content|text|title|headline) (?:goes )?here\b",
-    r"^\W*to be (?:written|completed|added|defined|announced) by\b",
-    r"^\W*coming soon:? ?content\b",
-    r"^\W*text de umplutur[ăa]\b",
-    r"^\W*texto de (?:ejemplo|relleno|prueba)\b",
-    r"^\W*(?:blindtext|platzhaltertext|beispieltext|mustertext)\b",
-    r"^\W*(?:hier steht|hier folgt) (?:ihr|der|ein) text\b",
-    r"^\W*(?:insert|enter|add) (?:\w+ ){1,8}here\W*$",
-    r"\b(?:asdf|qwerty?|jkl|xxxx)\W+(?:asdf|qwerty?|jkl|x{3,})\b",
-    r"^\W*headline \d+ subline\b|\bbody copy \d+",
-    r"^\W*(?:aici vine|aici va fi) (?:un )?text",
+    r"(?:this is )?(?:a )?(?:dummy|sample|placeholder|filler|example) (?:text|paragraph|copy|content)\b",
+    r"(?:your|the) (?:content|text|title|headline) (?:goes )?here\b",
+    r"to be (?:written|completed|added|defined|announced) by\b",
+    r"coming soon:? ?content\b",
+    r"text de umplutur[ăa]\b",
+    r"texto de (?:ejemplo|relleno|prueba)\b",
+    r"(?:blindtext|platzhaltertext|beispieltext|mustertext)\b",
+    r"(?:hier steht|hier folgt) (?:ihr|der|ein) text\b",
+    r"(?:insert|enter|add) (?:\w+ ){1,8}here\W*$",
+    r"headline \d+ subline\b",
+    r"(?:aici vine|aici va fi) (?:un )?text",
 )
+FILLER_WITHIN = (r"\blorem ipsum\b", r"\b(?:asdf|qwerty?|jkl|xxxx)\W+(?:asdf|qwerty?|jkl|x{3,})\b", r"\bbody copy \d+")
 # The words of the usual Latin filler, by their first five letters.
 LATIN = frozenset(
     w[:5]
@@ -83,13 +89,25 @@ MESSAGES = (
 
 placeholder = re.compile("|".join(PLACEHOLDERS))
 missing = re.compile("|".join(MISSING))
-_filler = re.compile("|".join(FILLER), re.I)
+_filler = re.compile(rf"\W*(?:{'|'.join(FILLER)})", re.I)
+_filler_within = re.compile("|".join(FILLER_WITHIN), re.I)
 _message = re.compile("|".join(MESSAGES), re.I)
+# What every placeholder or missing value, and every filler, has in it; cheap to look for, so that most texts need no more.
+_MARKED = r"[{\[<@%$#«‹]|&lt;|__|:[A-Za-z_]|[~^|!?][A-Za-z]"
+_VALUES = r"NaN|null|None|undefined|NULL|nil|TB[DAC]|TODO|FIXME|XXXX|\[object"
+_FILLS = "dummy|sample|placeholder|filler|example| here|to be |coming soon|umplutur|texto de|blindtext|platzhalter|beispieltext|mustertext|hier |subline|aici v|lorem|asdf|qwert|jkl|xxxx|body copy"
 _quoted = re.compile(r"[\"“”„«»][^\"“”„«»]{2,60}[\"“”„«»]")
-_letters = re.compile(r"[^\W\d_]+")
 _vowels = re.compile("[aeiouăâîäöüáéíóú]")
 
 
+def has_placeholder(texts: list[str]) -> list[bool]:
+    """Whether each text holds an unfilled placeholder or a value that was never filled in."""
+    arr = pa.array(texts, pa.string())
+    marked, valued = (pc.match_substring_regex(arr, p).to_pylist() for p in (_MARKED, _VALUES))
+    return [bool(m and placeholder.search(t) or v and missing.search(t)) for t, m, v in zip(texts, marked, valued)]
+
+
+@lru_cache(200_000)
 def _bones(word: str) -> str:
     """The first consonants of a word: what garbled Latin keeps of it."""
     return _vowels.sub("", word)[:3]
@@ -104,26 +122,31 @@ HINTS = (
     "mentenan", "wartung", "mantenimiento", "session", "human", "browser", "security of", "unusual traffic", "completing", "robot", "script", "traceback", "refused", "warning:", "stack trace", "nullpointer", "could not load",
     "web server", "nothing happens", "not work",
 )
-_status = re.compile(r"[1-5]\d\d\b")
+_HINTED = "|".join(map(re.escape, HINTS)) + r"|[1-5]\d\d\b"
 
 OTHER, FILL, MESSAGE = 0, 1, 2
-#: A message is at most so many words long.
-LONGEST = 40
+
+
+def labels(passages: list[str]) -> np.ndarray:
+    """FILL, MESSAGE or OTHER of each passage, of any length. What a passage quotes doesn't make it a message."""
+    arr, n = pa.array(passages, pa.string()), len(passages)
+    out = np.full(n, OTHER, np.int64)
+    doc, code, vocabulary = words(arr, r"[^\p{L}]+")
+    each = vocabulary.to_pylist()
+    latin = np.fromiter((len(w) > 2 and w[:5] in LATIN for w in each), float, len(each))
+    bones = np.fromiter((len(w) > 3 and _bones(w) in _LATIN_BONES for w in each), float, len(each))
+    size = np.bincount(doc, minlength=n)
+    kinds = np.bincount(distinct(doc * (len(each) + 1) + code) // (len(each) + 1), minlength=n)
+    fill = (size >= 9) & (kinds <= 3) | (size >= 4) & (np.bincount(doc, latin[code], n) >= 0.6 * size) | (size >= 6) & (np.bincount(doc, bones[code], n) >= 0.75 * size)
+    low = pc.utf8_lower(arr)
+    for i in np.flatnonzero(~fill & pc.match_substring_regex(low, _FILLS).to_numpy(zero_copy_only=False)).tolist():
+        fill[i] = bool(_filler.match(passages[i]) or _filler_within.search(passages[i]))
+    for i in np.flatnonzero(~fill & pc.match_substring_regex(low, _HINTED).to_numpy(zero_copy_only=False)).tolist():
+        bare = _quoted.sub(" ", passages[i]) if "Traceback" not in passages[i] else passages[i]
+        out[i] = MESSAGE if _message.search(bare) else OTHER
+    out[fill] = FILL
+    return out
 
 
 def label(passage: str) -> int:
-    """FILL, MESSAGE or OTHER. What a passage quotes doesn't make it a message."""
-    if _filler.search(passage):
-        return FILL
-    found = _letters.findall(passage.lower())
-    if len(found) >= 9 and len(set(found)) <= 3:
-        return FILL
-    if len(found) >= 4 and sum(w[:5] in LATIN and len(w) > 2 for w in found) >= 0.6 * len(found):
-        return FILL
-    if len(found) >= 6 and sum(len(w) > 3 and _bones(w) in _LATIN_BONES for w in found) >= 0.75 * len(found):
-        return FILL
-    low = passage.lower()
-    if len(found) > LONGEST or not (any(h in low for h in HINTS) or _status.search(low)):
-        return OTHER
-    bare = _quoted.sub(" ", passage) if "Traceback" not in passage else passage
-    return MESSAGE if _message.search(bare) else OTHER
+    return int(labels([passage])[0])

@@ -17,6 +17,12 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
+def distinct(x: np.ndarray) -> np.ndarray:
+    """Sorted distinct values (numpy's own unique hashes integers, which takes many times as long)."""
+    x = np.sort(x)
+    return x[np.r_[True, x[1:] != x[:-1]]] if len(x) else x
+
+
 def words(texts: pa.Array, pattern: str = r"[^\p{L}\p{M}\p{N}]+") -> tuple[np.ndarray, np.ndarray, pa.Array]:
     """(doc, code, vocabulary): for each word in order its text's index and its index in vocabulary. Lower case; what matches pattern separates. Null texts have no words."""
     low = pc.replace_substring_regex(pc.utf8_lower(texts), pattern, " ")
@@ -59,12 +65,11 @@ def one_permutation(doc: np.ndarray, token: np.ndarray, n: int, seed: int, bins:
     np.minimum.at(sig, doc * bins + (h >> _U(58)).astype(np.int64) % bins, h & _U((1 << 58) - 1))
     sig = sig.reshape(n, bins)
     full = sig != none
-    out, todo = sig.copy(), ~full
-    todo[~full.any(axis=1)] = False
-    for shift in range(1, bins):
-        if not todo.any():
-            break
-        take = todo & np.roll(full, -shift, axis=1)
-        out[take] = mix(np.roll(sig, -shift, axis=1)[take] + _U(shift))
-        todo &= ~take
+    place = np.arange(bins)
+    to = np.minimum.accumulate(np.where(full, place, 2 * bins)[:, ::-1], axis=1)[:, ::-1]  # the next full bin, or one of the next turn
+    to = np.where(to < bins, to, to[:, :1] + bins)
+    row, column = np.nonzero(~full & full.any(axis=1)[:, None])
+    from_ = to[row, column]
+    out = sig.copy()
+    out[row, column] = mix(sig[row, from_ % bins] + (from_ - column).astype(_U))
     return out

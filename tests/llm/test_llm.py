@@ -298,15 +298,22 @@ def test_likeness_carries_labels(spark):
     assert {r.scrape_id for r in residue.residue_rows(df).collect()} == {1, 2}
 
 
-def test_simhash_tables_meet_within_six_bits():
-    rng = np.random.default_rng(0)
-    sim = rng.integers(0, 1 << 63, 200).astype(np.uint64)
-    for bits in (1, 3, 6):
-        flip = sim.copy()
-        for row in range(len(sim)):
-            for b in rng.choice(64, bits, replace=False):
-                flip[row] ^= np.uint64(1) << np.uint64(b)
-        assert (residue.table_keys(sim) == residue.table_keys(flip)).any(axis=1).all()
+def test_likeness_goes_as_far_as_its_chain(spark):
+    """Each text differs from the next by a word; labels reach the last, however many links away, and passages of any length."""
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choices("bdfghkvwz", k=3)) + "o" + "".join(rng.choices("bdfghkvwz", k=3))
+    chain = [["lorem", "ipsum", *(word() for _ in range(90))]]
+    for k in range(24):
+        chain.append([word() if i // 3 == k else w for i, w in enumerate(chain[-1])])
+    data = [(k, " ".join(w), None) for k, w in enumerate(chain)] + [(99, "A quiet sentence about lifts and ramps", None)]
+    got = {r.scrape_id: r.by for r in residue.residue_rows(spark.createDataFrame(data, "scrape_id long, text string, html string")).collect()}
+    assert got == {k: "rule" if k == 0 else "likeness" for k in range(25)}
+
+
+def simhash_by_force(mask):
+    _, gram = residue.grams([mask])
+    h = residue.mix(gram)
+    return sum(1 << b for b in range(64) if 2 * sum(int(x) >> b & 1 for x in h) > len(h))
 
 
 def test_every_near_passage_is_met():
@@ -314,12 +321,21 @@ def test_every_near_passage_is_met():
     vocabulary = ["lift", "ramp", "desk", "page", "error", "missing", "server", "please", "return", "later", "access", "blocked", "service", "closed", "shortly", "today"]
     masks = [" ".join(rng.choices(vocabulary, k=rng.randrange(6, 14))) for _ in range(400)]
     edits = [" ".join(rng.choice(vocabulary) if i == at else w for i, w in enumerate(m.split())) for m in masks for at in [rng.randrange(len(m.split()))]]
-    a, b = map(residue.simhashes, (masks, edits))
-    like = [len(residue._grams(x) & residue._grams(y)) >= residue.SIMILARITY * len(residue._grams(x) | residue._grams(y)) for x, y in zip(masks, edits)]
-    near = [i for i in np.flatnonzero(np.array(like)) if 0 < int(a[i] ^ b[i]).bit_count() <= residue.HAMMING]
-    tables = [[{*k} for k in keys] for keys in map(residue.prefixes, (masks, edits))]
-    assert len(near) > 30 and all(tables[0][i] & tables[1][i] for i in near)
-    assert not (residue.table_keys(a) == residue.table_keys(b)).any(axis=1)[near].all()
+    both = [residue.grams(x) for x in (masks, edits)]
+    text = lambda m: {f" {m} "[i : i + 4] for i in range(len(m) - 1)}
+    like = [len(text(x) & text(y)) >= residue.SIMILARITY * len(text(x) | text(y)) for x, y in zip(masks, edits)]
+    near = [i for i in range(400) if like[i] and masks[i] != edits[i]]
+    assert [len(text(m)) for m in masks] == np.bincount(both[0][0]).tolist()
+    every = np.sort(both[0][1])
+    common = np.unique(every, return_counts=True)
+    for order in (None, common):
+        tables = [[{*k} for k in residue.prefixes(*g, 400, order).to_pylist()] for g in both]
+        assert len(near) > 30 and all(tables[0][i] & tables[1][i] for i in near)
+    a, b = (residue.simhashes(*g, 400) for g in both)
+    assert [int(x) for x in a[:20]] == [simhash_by_force(m) for m in masks[:20]]
+    far = [int(a[i] ^ b[i]).bit_count() for i in near]
+    assert sum(d <= residue.HAMMING for d in far) >= 0.95 * len(far)
+    assert residue.grams([""])[0].tolist() == [0] and len(residue.prefixes(np.zeros(0, np.int64), np.zeros(0, np.uint64), 0)) == 0
 
 
 def test_visible():
