@@ -65,7 +65,7 @@ def _keys(masks: list[str]) -> np.ndarray:
 
 def grams(masks: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(passage, gram): the distinct character 4-grams of each passage as 40-bit hashes, in order of passage and hash. A blank stands at both ends."""
-    texts = [f" {m} " if len(m) > 1 else f" {m} \0" for m in masks]
+    texts = [f" {m} ".ljust(4, "\0") for m in masks]
     code = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32).astype(_U)
     size = np.fromiter(map(len, texts), np.int64, len(texts))
     n = size - 3
