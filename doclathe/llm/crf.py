@@ -14,11 +14,6 @@ def _pad(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(inside.ravel()), inside
 
 
-def _logsum(x: np.ndarray, axis: int) -> np.ndarray:
-    top = x.max(axis=axis, keepdims=True)
-    return (top + np.log(np.exp(x - top).sum(axis=axis, keepdims=True))).squeeze(axis)
-
-
 @dataclass
 class Crf:
     emit: np.ndarray  # feature x state
@@ -35,31 +30,31 @@ class Crf:
         """Mean log-likelihood of a step, and its gradient for emit, move and start."""
         score, inside, place = self._table(features, lengths)
         n, steps, k = score.shape
-        fore, back = np.empty_like(score), np.zeros_like(score)
-        fore[:, 0] = self.start + score[:, 0]
-        for t in range(1, steps):
-            new = _logsum(fore[:, t - 1, :, None] + self.move[None], 1) + score[:, t]
-            fore[:, t] = np.where(inside[:, t, None], new, fore[:, t - 1])
+        top, top_move, top_start = score.max(axis=2), self.move.max(), self.start.max()
+        emit, move = np.exp(score - top[:, :, None]), np.exp(self.move - top_move)
+        fore, back, scale = np.empty_like(score), np.ones_like(score), np.ones((n, steps))
+        for t in range(steps):  # forward chances, made to sum to one at each step
+            new = (fore[:, t - 1] @ move if t else np.exp(self.start - top_start)) * emit[:, t]
+            total = new.sum(axis=1)
+            on = inside[:, t]
+            scale[on, t] = total[on]
+            fore[:, t] = np.where(on[:, None], new / total[:, None], fore[:, t - 1])
         for t in range(steps - 2, -1, -1):
-            new = _logsum(self.move[None] + (score[:, t + 1] + back[:, t + 1])[:, None, :], 2)
-            back[:, t] = np.where(inside[:, t + 1, None], new, 0)
-        whole = _logsum(fore[:, -1], 1)
-        belief = np.exp(fore + back - whole[:, None, None]).reshape(-1, k)[place]
-        truth = np.eye(k)[labels]
-        moves, real = np.zeros((k, k)), np.zeros((k, k))
+            new = (emit[:, t + 1] * back[:, t + 1] / scale[:, t + 1, None]) @ move.T
+            back[:, t] = np.where(inside[:, t + 1, None], new, 1)
+        whole = (np.log(scale) + np.where(inside, top, 0)).sum() + top_move * inside[:, 1:].sum() + top_start * n
+        belief = (fore * back).reshape(-1, k)[place]
+        on = inside[:, 1:]
+        moves = move * (fore[:, :-1][on].T @ (emit * back / scale[:, :, None])[:, 1:][on])
         y = np.zeros(n * steps, np.int64)
         y[place] = labels
         y = y.reshape(n, steps)
-        for t in range(1, steps):
-            on = inside[:, t]
-            both = fore[on, t - 1, :, None] + self.move[None] + (score[on, t] + back[on, t])[:, None, :] - whole[on, None, None]
-            moves += np.exp(both).sum(0)
-            np.add.at(real, (y[on, t - 1], y[on, t]), 1)
-        first = np.exp(fore[:, 0] + back[:, 0] - whole[:, None])
+        real = np.bincount(y[:, :-1][on] * k + y[:, 1:][on], minlength=k * k).reshape(k, k).astype(float)
+        truth = np.eye(k)[labels]
         total = len(labels)
         at = score.reshape(-1, k)[place]
         gold = at[np.arange(total), labels].sum() + (self.move * real).sum() + self.start[y[:, 0]].sum()
-        return (gold - whole.sum()) / total, [features.T @ (truth - belief) / total, (real - moves) / total, (np.eye(k)[y[:, 0]] - first).sum(0) / total]
+        return (gold - whole) / total, [features.T @ (truth - belief) / total, (real - moves) / total, (np.eye(k)[y[:, 0]] - fore[:, 0] * back[:, 0]).sum(0) / total]
 
     def decode(self, features: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """The likeliest state of each step (Viterbi)."""
@@ -80,14 +75,19 @@ class Crf:
         return state.ravel()[place]
 
 
-def train(features: np.ndarray, labels: np.ndarray, lengths: np.ndarray, states: int, rounds: int = 200, rate: float = 0.15, decay: float = 1e-4) -> Crf:
-    """Maximum likelihood with weight decay by Adam over all sequences; deterministic."""
+def train(features: np.ndarray, labels: np.ndarray, lengths: np.ndarray, states: int, rounds: int = 200, rate: float = 0.15, decay: float = 1e-4, gain: float = 2e-5) -> Crf:
+    """Maximum likelihood with weight decay by Adam over all sequences; deterministic. Ends after `rounds`, or when ten of them gain less than `gain`."""
     model = Crf(np.zeros((features.shape[1], states)), np.zeros((states, states)), np.zeros(states))
     weights = [model.emit, model.move, model.start]
     mean, square = [np.zeros_like(w) for w in weights], [np.zeros_like(w) for w in weights]
     features = features.astype(float)
+    before = -np.inf
     for step in range(1, rounds + 1):
-        _, slope = model.gradient(features, labels, lengths)
+        value, slope = model.gradient(features, labels, lengths)
+        if step % 10 == 0:
+            if value - before < gain:
+                break
+            before = value
         for w, g, m, s in zip(weights, slope, mean, square):
             g = g - decay * w
             m += 0.1 * (g - m)

@@ -123,36 +123,49 @@ PAGE = "Skip to main content\nHome\nLogin\nContact\nHome > Guide > Lift access\n
 
 
 def test_rules_and_model_on_a_page():
-    labels = page_rules.rule_labels(page_body.split(PAGE)[1], "https://x.example/lift-access-7.html")
-    assert "".join("BcX"[v] for v in labels) == "cccccBBBBBXXXBcc"
+    labels = page_rules.rule_labels([page_body.split(PAGE)[1], []], ["https://x.example/lift-access-7.html", None])
+    assert "".join("BcX"[v] for v in labels[0]) == "cccccBBBBBXXXBcc" and labels[1] == []
 
 
 def test_known_headings_end_a_box():
     page = ["The lift in hall two is open to all passengers every day.", "Read next", "Fees", "1.2.2025 Seats", "La bord", "Pasagerii sunt rugați să vină la lift în ziua călătoriei."]
-    share = {"fees": 0.1, "~fees": 0.1, "la bord": 0.1}
-    assert page_rules.rule_labels(page, None) == [0, 2, 2, 2, 2, 0]
-    assert page_rules.rule_labels(page, None, lambda k: share.get(k, 0.0), 1000) == [0, 2, 2, 2, 0, 0]
-    assert page_rules.undecorated("1.2.2025 Fees") == page_rules.undecorated("Fees ... Read more") == "fees" and page_rules.undecorated("Fees") is None
+    shares = page_rules.Shares.of({"fees": 100, "la bord": 100}, {"fees": 100}, 1000)
+    assert page_rules.rule_labels([page], [None]) == [[0, 2, 2, 2, 2, 0]]
+    assert page_rules.rule_labels([page], [None], shares) == [[0, 2, 2, 2, 0, 0]]
+    assert page_rules.undecorated(["1.2.2025 Fees", "Fees ... Read more", "Fees"]) == ["fees", "fees", None]
+
+
+def test_features_of_a_page_alone_and_among_others():
+    pages = [page_body.split(PAGE)[1], [], ["One"], page_body.split(PAGE)[1][3:9], ["Contact", "Home", "Contact", "Contact", "Login"]]
+    urls = ["https://x.example/lift-access-7.html", None, "u", None, "https://x.example/one"]
+    shares = page_rules.Shares.of({"home": 30, "one": 50}, {}, 100)
+    together = page_rules.features(pages, urls, shares)
+    assert together.shape == (sum(map(len, pages)), page_rules.FEATURES)
+    assert (together == np.concatenate([page_rules.features([p], [u], shares) for p, u in zip(pages, urls)])).all()
 
 
 def test_a_single_teaser_counts_against_a_heading(spark):
-    data = [(i, "\n".join(["La bord"] * (i < 30) + ["Echipaj"] * (i < 40) + ["1.2.2025 La bord"] * (i == 500) + [f"Own {i}"])) for i in range(1000)]
-    shares, count = page_body.line_shares(spark.createDataFrame(data, "id long, text string"))
-    known = lambda k: shares.get(k, 0.0)
-    assert shares["~la bord"] == 0.001 and shares["la bord"] == 0.03
-    assert not page_rules.is_plain("la bord", known, count) and page_rules.is_plain("echipaj", known, count)
-    assert not page_rules.is_plain("x", lambda k: 0.0012 if k == "x" else 0.0, 10_000)
+    notice = "we store small files " * 40
+    data = [(i, "\n".join(["La bord"] * (i < 30) + ["Echipaj"] * (i < 40) + ["1.2.2025 La bord"] * (i == 500) + [notice] * (i < 700) + [f"Own {i}"])) for i in range(1000)]
+    shares = page_body.line_shares(spark.createDataFrame(data, "id long, text string"))
+    plain, dressed = shares(["la bord", "echipaj", page_rules.simple(notice), "own 7"])
+    assert plain.tolist() == [30, 40, 700, 0] and dressed.tolist() == [1, 0, 0, 0]
+    assert page_rules.is_plain(["la bord", "echipaj"], shares).tolist() == [False, True]
+    assert not page_rules.is_plain(["x"], page_rules.Shares.of({"x": 12}, {}, 10_000))[0]
 
 
 def test_held_out_agreement(spark, data):
     df = spark.read.parquet(f"{data}/raw_pages.parquet")
     pages = df.select(F.col("page_id").alias("id"), F.col("source").alias("url"), "text").where(F.col("text").rlike(r"\S"))
-    shares, count = page_body.line_shares(pages)
-    model = page_body.fit(pages, shares, count, 20)
+    model = page_body.PageModel.from_json(page_body.fit(pages, 20).to_json())
     held = pages.orderBy(F.xxhash64("id"), "id").offset(20).collect()
-    xs = [page_rules.features(page_body.split(r.text)[1], r.url, lambda k: shares.get(k, 0.0), count) for r in held]
-    truth = np.concatenate([page_rules.rule_labels(page_body.split(r.text)[1], r.url, lambda k: shares.get(k, 0.0), count) for r in held])
-    assert (np.concatenate(page_body.decode(model, xs)) == truth).mean() > 0.97
+    lines, urls = [page_body.split(r.text)[1] for r in held], [r.url for r in held]
+    x = page_rules.features(lines, urls, model.shares)
+    truth = np.concatenate(page_rules.rule_labels(lines, urls, model.shares))
+    got = page_body.decode(model.crf, np.split(x, np.cumsum([len(p) for p in lines])[:-1]))
+    assert (np.concatenate(got) == truth).mean() > 0.97
+    kept = page_body.body_lines(df, model=model)
+    assert kept.where("not body").count() > 0 and kept.exceptAll(page_body.body_lines(df, model=model)).isEmpty()
 
 
 def test_body_lines_edges(spark):
