@@ -1,4 +1,4 @@
-"""Pages of repeated keywords, links and tags: shares per segment, with thresholds calibrated per language."""
+"""Pages of repeated keywords, links and tags: shares of words, pairs of words, lines, links, separators and function words per segment, with thresholds calibrated per language."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from doclathe.runtime import materialize, spread
@@ -21,10 +21,20 @@ FUNCTION_WORDS = {
 }
 #: A word is heavy in a text if it stands there at least so often, and makes up at least this share of its words.
 HEAVY_COUNT, HEAVY_SHARE = 4, 0.03
-#: A segment is spam if this share of it is links or tags, or of its words are heavy; or if function words are missing and this share of its words is repeated.
-LINKS, HEAVY, REPEATED = 0.3, 0.4, 0.45
-#: Function words are missing below this part of their usual share (the upper quartile of the language's segments of WORDS words or more).
-MISSING, WORDS = 0.27, 8
+#: A word, pair of words or line that stands in a text so often is repeated.
+OFTEN = 3
+#: A segment is spam if this share of it is links or tags.
+LINKS = 0.3
+#: It also is if its heavy words exceed what is usual in its language (the upper quartile of the language's segments of WORDS words or more) by this
+#: share of its words; or if function words are missing and the repeated words, repeated pairs of words or separators do so, or it is a repeated line.
+ABOVE = {"heavy": 0.4, "repeated": 0.2, "pairs": 0.3, "separators": 0.4}
+#: No share above this is usual, however much of a language's text is spam.
+MOST = 0.65
+#: Function words are missing below this part of their usual share. A language whose usual share is under KNOWN isn't known; texts without any function
+#: word in Latin letters are measured by the strictest of the known languages.
+MISSING, WORDS, KNOWN = 0.27, 8, 0.1
+#: A list has at least so many words between separators; in a text without any function word a run has at least that many words; neither holds more numbers than TABLE.
+LIST, RUN, TABLE = 12, 30, 0.1
 #: Segments mostly of numbers are tables of times and phones.
 NUMBERS = 0.5
 #: Texts with fewer characters in their segments are too short to judge.
@@ -35,37 +45,56 @@ _url = re.compile(r"(?:https?://|www\.)\S+")
 _word = re.compile(r"[^\W_]+")
 _tag = re.compile(r"#\w+")
 _end = re.compile(r"(?<=[.!?])\s+")
+_separator = re.compile(r"[,;/•·]")
+_foreign = re.compile(r"[^\W\d_a-zà-ɏ]")
 
-_SEGMENT = pa.struct([("size", pa.int32()), ("words", pa.int32()), *((c, pa.int16()) for c in ("links", "function", "repeated", "heavy", "numbers"))])
+#: Shares of a segment, in thousandths.
+SHARES = ("links", "function", "repeated", "heavy", "pairs", "separators", "numbers")
+_SEGMENT = pa.struct([("size", pa.int32()), ("words", pa.int32()), ("copies", pa.int32()), *((c, pa.int16()) for c in SHARES)])
+
+
+def _share(n: int, of: int) -> int:
+    return min(9999, round(1000 * n / of)) if of else 0
 
 
 def segments(text: str) -> tuple[str, list[dict]]:
-    """The text's language by function words, and for each sentence or line its size and shares (in thousandths)."""
+    """The text's language by function words, and for each sentence or line its size and shares. Without any function word the language is '' in Latin
+    letters and ? in others."""
     low = text.lower()
-    every = _word.findall(_url.sub(" ", low))
-    count = Counter(w for w in every if not w.isdigit())
-    hits = {k: sum(count[w] for w in v) for k, v in _SETS.items()}
-    lang = max(hits, key=hits.get)
-    known = _SETS[lang]
-    least = max(HEAVY_COUNT, HEAVY_SHARE * len(every))
-    out = []
+    parts, total = [], 0
+    count: Counter[str] = Counter()
+    pairs: Counter[tuple[str, str]] = Counter()
     for line in low.split("\n"):
-        for s in _end.split(line):
-            if not s.strip():
+        for s in _end.split(line) if "." in line or "!" in line or "?" in line else (line,):
+            if not s or s.isspace():
                 continue
-            rest = _url.sub(" ", s)
-            links = sum(map(len, _url.findall(s))) + sum(map(len, _tag.findall(rest)))
+            rest, linked = s, 0
+            if "http" in s or "www." in s:
+                linked, rest = sum(map(len, _url.findall(s))), _url.sub(" ", s)
+            if "#" in rest:
+                linked += sum(map(len, _tag.findall(rest)))
             found = _word.findall(rest)
             plain = [w for w in found if not w.isdigit()]
-            share = lambda n, of: round(1000 * n / of) if of else 0
-            content = [count[w] for w in plain if w not in known]
-            out.append(
-                {
-                    "size": len(s), "words": len(plain), "links": share(links, len(s)), "function": share(len(plain) - len(content), len(plain)),
-                    "repeated": share(sum(c >= 3 for c in content), len(plain)), "heavy": share(sum(c >= least for c in content), len(plain)), "numbers": share(len(found) - len(plain), len(found)),
-                }
-            )
-    return lang if hits[lang] else "", out
+            count.update(plain)
+            pairs.update(zip(plain, plain[1:]))
+            total += len(found)
+            parts.append((s, linked, len(found), plain, len(_separator.findall(rest))))
+    hits = {k: sum(count[w] for w in count.keys() & v) for k, v in _SETS.items()}
+    lang = max(hits, key=hits.get)
+    known, least = _SETS[lang], max(HEAVY_COUNT, HEAVY_SHARE * total)
+    copies = Counter(tuple(p[3]) for p in parts)
+    out = []
+    for s, linked, found, plain, separators in parts:
+        n = len(plain)
+        content = [count[w] for w in plain if w not in known]
+        often = sum(pairs[p] >= OFTEN for p in zip(plain, plain[1:]))
+        out.append(
+            {
+                "size": len(s), "words": n, "copies": copies[tuple(plain)], "links": _share(linked, len(s)), "function": _share(n - len(content), n), "repeated": _share(sum(c >= OFTEN for c in content), n),
+                "heavy": _share(sum(c >= least for c in content), n), "pairs": _share(often, n - 1), "separators": _share(separators, n), "numbers": _share(found - n, found),
+            }
+        )
+    return lang if hits[lang] else "?" if len(_foreign.findall(low)) * 2 > sum(map(len, count.elements())) else "", out
 
 
 def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -76,18 +105,32 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def spam_shares(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, lang, share): the part of each text, by length, that is repeated keywords, links or tags. Texts that are null or hold fewer than
-    LEAST characters of segments have no row. Thresholds of missing function words come from all texts of a language (read off the text, not a
+    LEAST characters of segments have no row. The thresholds of each language come from all its texts (the language is read off the text, not a
     column); where a language's function words aren't known, only links, tags and heavy words count. Equal texts get equal shares; nothing is
-    compared between documents but the quartile of each language (five rows at most). Extra columns are never read."""
+    compared between documents but the quartiles of each language (six rows at most). Extra columns are never read."""
     rows = df.select(F.col(key).alias("doc"), F.col(text).alias("text")).where(F.length("text") >= LEAST)
     rows = spread(rows)
     kind = df.schema[key].dataType.simpleString()
-    parts = "size int, words int, links smallint, function smallint, repeated smallint, heavy smallint, numbers smallint"
-    measured = materialize(rows.mapInArrow(_measure, f"doc {kind}, lang string, segments array<struct<{parts.replace(' ', ':').replace(',:', ',')}>>"))
-    usual = measured.select("lang", F.explode("segments").alias("s")).where(F.col("s.words") >= WORDS).groupBy("lang").agg(F.percentile_approx("s.function", 0.75, 1000).alias("usual"))
-    usual = usual.select("lang", F.when(F.col("usual") >= 100, MISSING * F.col("usual")).otherwise(-1.0).alias("least"))
+    parts = ",".join(["size:int", "words:int", "copies:int", *(f"{c}:smallint" for c in SHARES)])
+    measured = materialize(rows.mapInArrow(_measure, f"doc {kind}, lang string, segments array<struct<{parts}>>"))
+    quartiles = [F.percentile_approx(F.col("s")[c], 0.75, 1000).cast("double").alias(c) for c in ("function", *ABOVE)]
+    usual = measured.select("lang", F.explode("segments").alias("s")).where(F.col("s.words") >= WORDS).groupBy("lang").agg(*quartiles)
+    usual = usual.withColumn("known", (F.col("function") >= 1000 * KNOWN) & ~F.col("lang").isin("", "?")).select(
+        "lang", "known", (MISSING * F.col("function")).alias("least"), *(F.least(F.col(c) + 1000 * above, F.lit(1000 * MOST)).alias(f"most_{c}") for c, above in ABOVE.items())
+    )
+    strict = usual.where("known").agg(F.min("least").alias("least"), *(F.max(f"most_{c}").alias(f"most_{c}") for c in ABOVE)).withColumn("lang", F.lit(""))
+    strict = strict.select("lang", F.lit(True).alias("known"), F.coalesce("least", F.lit(1000 * KNOWN * MISSING)).alias("least"), *(F.coalesce(f"most_{c}", F.lit(1000.0 * above)).alias(f"most_{c}") for c, above in ABOVE.items()))
+    usual = materialize(usual.where("lang <> ''").unionByName(strict))
     joined = measured.join(F.broadcast(usual), "lang", "left")
-    spam = lambda s: (s["links"] >= 1000 * LINKS) | ((s["words"] > 0) & (s["numbers"] <= 1000 * NUMBERS) & ((s["heavy"] >= 1000 * HEAVY) | ((s["function"] < F.coalesce("least", F.lit(-1.0))) & (s["repeated"] >= 1000 * REPEATED))))
+    most = lambda c: F.coalesce(f"most_{c}", F.lit(1000.0 * ABOVE[c]))
+
+    def spam(s: Column) -> Column:
+        missing = F.coalesce("known", F.lit(False)) & (s["function"] < F.col("least"))
+        items = (s["words"] >= LIST) & (s["numbers"] <= 1000 * TABLE) & (s["separators"] >= most("separators"))
+        run = (F.col("lang") == "") & (s["words"] >= RUN) & (s["numbers"] <= 1000 * TABLE) & (s["function"] == 0)
+        strung = (s["repeated"] >= most("repeated")) | (s["pairs"] >= most("pairs")) | (s["copies"] >= OFTEN) | items | run
+        return (s["links"] >= 1000 * LINKS) | ((s["words"] > 0) & (s["numbers"] <= 1000 * NUMBERS) & ((s["heavy"] >= most("heavy")) | (missing & strung)))
+
     total = lambda a: F.aggregate(a, F.lit(0).cast("long"), lambda n, s: n + s["size"])
     sized = joined.select("doc", "lang", total(F.col("segments")).alias("total"), total(F.filter("segments", spam)).alias("spam"))
     return sized.where(F.col("total") >= LEAST).select(F.col("doc").alias(key), "lang", (F.col("spam") / F.col("total")).alias("share"))

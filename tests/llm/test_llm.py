@@ -440,15 +440,19 @@ def test_several_passes_give_the_same(spark, monkeypatch):
 # --- 10: keyword spam
 
 
+KEYWORDS = [a + b for a in ("vol", "tar", "jor", "pel", "zum", "hex") for b in ("ba", "de", "ki")]
+
+
 def test_spam_shares(spark):
     real = "The lift in the hall is open to all passengers who need it. Ask at the desk if you want to be met by the staff before the flight. We will help you with the bags and with the way to the gate. "
     data = [
         (1, real * 3), (2, "cheap wheelchair taxi Tarvik, wheelchair taxi hire, taxi wheelchair Tarvik, best wheelchair taxi, wheelchair taxi price, wheelchair taxi Tarvik deal, wheelchair taxi Tarvik review"),
         (3, "\n".join(f"https://x{i}.example/wheelchair-taxi-{i}" for i in range(20))), (4, real + real + "More at https://a.example/page"), (5, None), (6, ""), (7, "wheelchair taxi wheelchair taxi"), (8, "x" * 500), (9, "#wheelchair_taxi #taxi_hire " * 20),
+        (12, " ".join(f"{w}ra {w}lo {w}mi" for w in KEYWORDS) * 3), (13, ", ".join(f"{w}stad" for w in KEYWORDS * 3)), (14, "\n".join(["Wheelchair taxi"] * 40)), (15, "Где находится лифт для пассажиров " * 9),
         (10, "\n".join(f"Tarvik | help desk | +99 12{i} 4567 | 08:00-12:00" for i in range(20))), (11, ("To use the lift wheelchair taxi Tarvik wheelchair taxi hire cheap taxi. ") * 9), (2, "cheap wheelchair taxi Tarvik, wheelchair taxi hire, taxi wheelchair Tarvik, best wheelchair taxi, wheelchair taxi price, wheelchair taxi Tarvik deal, wheelchair taxi Tarvik review"),
     ]
     df = spark.createDataFrame([(*d, "xx", 1.0) for d in data], "doc_id long, text string, lang string, share double")
-    assert {r.doc_id for r in spam_shares(df).where("share > 0.5").collect()} == {2, 3, 9, 11}
+    assert {r.doc_id for r in spam_shares(df).where("share > 0.5").collect()} == {2, 3, 9, 11, 12, 13, 14, 15}
     assert spam_shares(df).where("doc_id = 2").count() == 2 and spam_shares(df.where("false")).count() == 0
 
 
