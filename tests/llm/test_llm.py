@@ -430,11 +430,39 @@ def test_common_phrases_are_no_leak(spark):
     assert rows(leakage.leaked_items(docs, items)) == [(2, "I")]
 
 
-def test_several_passes_give_the_same(spark, monkeypatch):
-    docs = spark.createDataFrame([(1, "one two three four five six seven eight nine ten")], "doc_id long, text string")
-    items = spark.createDataFrame([(f"I{i}", "one two three four five six seven eight nine ten", None) for i in range(7)], "item_id string, passage string, question string")
-    monkeypatch.setattr(leakage, "ITEMS", 2)
-    assert leakage.leaked_items(docs, items).count() == 7
+@pytest.mark.parametrize("size", range(4, 16))
+def test_whole_questions_of_any_length(spark, size):
+    question = " ".join(f"ask{i}" for i in range(size))
+    docs = spark.createDataFrame([(1, "some text before it " + question.upper() + "? and more words behind"), (2, " ".join(question.split()[: size // 2]) + " and nothing else of it"), (None, question)], "doc_id long, text string")
+    items = spark.createDataFrame([("I", None, question)], "item_id string, passage string, question string")
+    assert rows(leakage.leaked_items(docs, items)) == ([(1, "I")] if size >= leakage.SHINGLE else [])
+
+
+def test_candidates_prune_and_do_not_depend_on_what_is_known(spark, monkeypatch):
+    rng = random.Random(11)
+    v = [f"word{i}" for i in range(300)]
+    say = lambda n: " ".join(rng.choices(v, k=n))
+    phrase = "in the terms of carriage"
+    items = [(f"I{i}", say(40) + " " + phrase + " " + say(40), None) for i in range(40)]
+    docs = [(i, say(rng.randrange(50, 1500)) + " " + phrase) for i in range(150)] + [(1000 + i, " ".join([say(700), " ".join(items[i % 40][1].split()[5:45]), say(rng.randrange(1, 600))])) for i in range(150)]
+    dd = spark.createDataFrame(docs, "doc_id long, text string")
+    di = spark.createDataFrame(items, "item_id string, passage string, question string")
+    needles = leakage.needles_of(di, "item_id", "passage", "question")
+    of = {r.needle: r["item"] for r in needles.collect()}
+    source = dd.select(F.col("doc_id").alias("doc"), "text")
+    met = {(r.doc, of[r.needle]) for r in leakage.candidates(source, needles).collect()}
+    want = {(1000 + i, f"I{i % 40}") for i in range(150)}
+    shared = 150 * 40 + 150  # pairs with a common shingle at least
+    assert len(want - met) <= 1 and len(met) < 0.3 * shared
+    found = set(rows(leakage.leaked_items(dd, di)))
+    assert found == want & met
+    monkeypatch.setattr(leakage, "KNOWN", 10)
+    assert {(r.doc, of[r.needle]) for r in leakage.candidates(source, needles).collect()} == met
+    assert set(rows(leakage.leaked_items(dd, di))) == found
+
+
+def test_needed_shingles():
+    assert leakage.needed(80, 0, 0.4) == (2, False) and leakage.needed(5, 0, 0.75) == (1, True) and leakage.needed(24, 0, 0.75)[1]
 
 
 # --- 10: keyword spam
