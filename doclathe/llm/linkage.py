@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections import Counter
 from collections.abc import Iterator
 from difflib import SequenceMatcher
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -25,8 +27,9 @@ KIND_WORDS = {
 SHORT_FORMS = {"intl": "international", "int": "international", "reg": "regional", "nth": "north", "sth": "south"}
 #: Weights of a word in a name: telling words, words that many reference names share, and words of kind.
 TELLING, SHARED, KIND = 1.0, 0.5, 0.12
-#: A word of at least so many reference names is shared; it is no reason to compare two records.
-COMMON = 10
+#: A word of at least this share of the reference names, and of FEW at least, is shared; alone it is no reason to compare two records. There are at most
+#: 1 / COMMON times as many such words as a mean name has, however many references.
+COMMON, FEW = 0.007, 10
 #: Similarity of names from which they agree in full, and below which they contradict in full.
 AGREES, CONTRADICTS = 0.95, 0.55
 #: What a name that is only the airport's city counts.
@@ -38,6 +41,8 @@ FOR = {"domain": 6.0, "code": 2.0, "phone and name": 1.5, "name and city": 1.5,
 AGAINST = {"name": 4.5, "country": 2.0, "city": 1.2, "code": 1.5, "domain": 1.0, "phone": 0.5, "prior": 0.75}
 #: Weight of agreement between the states of one record.
 SAME = 2.0
+#: A problem is solved when no variable moves, or differs from its copies, by more than this; or after so many rounds.
+NEAR, ROUNDS = 1e-4, 5000
 #: Matches have at least this value; over a half, so an entity has one at most.
 CONFIDENCE = 0.52
 
@@ -46,22 +51,26 @@ _brackets = re.compile(r"\(([^()]*)\)")
 _kind = {w: k for k, ws in KIND_WORDS.items() for w in ws.split()}
 
 
+@lru_cache(200_000)
 def fold(s: str | None) -> str:
     flat = unicodedata.normalize("NFKD", s or "").lower()
     return "".join(c for c in flat if not unicodedata.combining(c)).replace("ß", "ss").replace("ø", "o").replace("ł", "l")
 
 
+@lru_cache(200_000)
 def phone_key(s: str | None) -> str:
     digits = re.sub(r"\D", "", re.sub(r"\(0\)", "", s or ""))
     return digits[2:] if digits.startswith("00") else digits
 
 
+@lru_cache(200_000)
 def domain_key(s: str | None) -> str:
     host = re.sub(r"^[a-z]+://", "", (s or "").strip().lower()).split("/")[0].split(":")[0]
     return re.sub(r"^(?:www|help|prm|info|support)\.", "", host)
 
 
-def name_words(s: str | None) -> tuple[list[str], str]:
+@lru_cache(200_000)
+def name_words(s: str | None) -> tuple[tuple[str, ...], str]:
     """(words, code): the words of a name, short forms spelt out; code is what stands in brackets or instead of a name."""
     flat = fold(s)
     inside = [x.strip() for x in _brackets.findall(flat)]
@@ -71,8 +80,8 @@ def name_words(s: str | None) -> tuple[list[str], str]:
         if _alike(words[i], "air") and _alike(words[i + 1], "lines"):
             words[i : i + 2] = ["airlines"]
     if len(words) == 1 and re.fullmatch(r"[a-z0-9]{2,3}", words[0]):
-        return [], words[0].upper()
-    return [w for w in words if _kind.get(w) != "none"], code
+        return (), words[0].upper()
+    return tuple(w for w in words if _kind.get(w) != "none"), code
 
 
 def _deletions(w: str) -> set[str]:
@@ -80,7 +89,8 @@ def _deletions(w: str) -> set[str]:
 
 
 def block_keys(name: str | None, full: str | None, code: str | None, city: str | None, phone: str | None, web: str | None, common: frozenset[str]) -> list[int]:
-    """Hashes of everything that two records of one thing may share: phone, host, code, and telling words of names or city, each also with any one letter left out."""
+    """Hashes of everything that two records of one thing may share: phone, host, code, telling words of names or city, each also with any one letter left
+    out, and the words of a whole name, which may be shared ones alone."""
     keys = set()
     if p := phone_key(phone):
         keys.add("p" + p)
@@ -90,12 +100,16 @@ def block_keys(name: str | None, full: str | None, code: str | None, city: str |
     for c in (inside, (code or "").strip().upper()):
         if c:
             keys.add("c" + c)
+    for one in (words, name_words(full)[0]):
+        if own := sorted({w for w in one if w not in _kind}):
+            keys.add("n" + " ".join(own))
     for w in set(words) | set(name_words(full)[0]) | set(_words.findall(fold(_brackets.sub(" ", city or "")))):
         if len(w) >= 4 and w not in common and w not in _kind:
             keys |= {"w" + x for x in _deletions(w)}
     return pd.util.hash_array(np.array(sorted(keys), dtype=object), categorize=False).view(np.int64).tolist() if keys else []
 
 
+@lru_cache(200_000)
 def _alike(a: str, b: str) -> float:
     """Ratio of common letters, if spelling alone may tell the words apart: from 0.8, of short words from 0.85."""
     if a == b:
@@ -103,11 +117,14 @@ def _alike(a: str, b: str) -> float:
     least = min(len(a), len(b))
     if least < 3 or abs(len(a) - len(b)) > 2:
         return 0.0
+    enough = 0.8 if least >= 5 else 0.85
+    if 2 * sum((Counter(a) & Counter(b)).values()) < enough * (len(a) + len(b)):  # common letters in any order are no fewer
+        return 0.0
     ratio = SequenceMatcher(None, a, b, autojunk=False).ratio()
-    return ratio if ratio >= (0.8 if least >= 5 else 0.85) else 0.0
+    return ratio if ratio >= enough else 0.0
 
 
-def name_similarity(a: list[str], b: list[str], weight) -> float:
+def name_similarity(a: tuple[str, ...], b: tuple[str, ...], weight) -> float:
     """Weighted share of common words, near spellings in part; a word of kind agrees with any other of its kind."""
     if not a or not b:
         return 0.0
@@ -121,11 +138,13 @@ def name_similarity(a: list[str], b: list[str], weight) -> float:
     return 2 * common / (sum(map(weight, a)) + sum(map(weight, b)))
 
 
+@lru_cache(200_000)
 def _same_city(a: str, b: str) -> bool:
     x, y = fold(_brackets.sub(" ", a)).strip(), fold(b).strip()
     return x == y or SequenceMatcher(None, x, y, autojunk=False).ratio() >= 0.85
 
 
+@lru_cache(200_000)
 def _same_country(a: str, b: str) -> bool:
     x, words = fold(a).strip(), _words.findall(fold(b))
     return x == " ".join(words) or x in words or len(x) <= 3 and "".join(words).startswith(x) or len(x) >= 5 and SequenceMatcher(None, x, " ".join(words), autojunk=False).ratio() >= 0.85
@@ -140,7 +159,7 @@ def evidence(e: tuple, r: tuple, weight) -> list[float]:
     sim = max(name_similarity(words, n, weight) for n in names) if words else 0.0
     kind = [w for w in names[0] if _kind.get(w) == "airport"]
     if kind and words and r[3]:  # an airport called by its city alone, which other airports there may be as well
-        sim = max(sim, CITY_ONLY * name_similarity(words, _words.findall(fold(r[3])) + kind[:1], weight))
+        sim = max(sim, CITY_ONLY * name_similarity(words, (*_words.findall(fold(r[3])), *kind[:1]), weight))
     agree = min(1.0, max(0.0, (sim - CONTRADICTS) / (AGREES - CONTRADICTS)))
     known = lambda x, y: bool(x and y)
     p, d = phone_key(e[4]), domain_key(e[5])
@@ -159,23 +178,22 @@ def evidence(e: tuple, r: tuple, weight) -> list[float]:
     return pro + con
 
 
-def solve(state: np.ndarray, pair: np.ndarray, group: np.ndarray, body: np.ndarray, rounds: int = 500, rho: float = 1.0) -> np.ndarray:
+def solve(pair: np.ndarray, group: np.ndarray, body: np.ndarray, rounds: int = ROUNDS, near: float = NEAR, rho: float = 1.0) -> np.ndarray:
     """Values of the pairs: the minimum of the rules' weighted hinge losses, by consensus ADMM.
 
     One variable per state (row of body) and one per pair. Potentials: each rule for pushes its state up to its truth, each against down to one
-    minus it; a state and its pair are drawn together both ways (transitivity); the pairs of a group sum to one at most (exclusivity)."""
-    n, m = len(state), int(pair.max()) + 1
-    w_for, w_against = np.array(list(FOR.values())), np.array(list(AGAINST.values()))
-    k = len(w_for)
-    x, y = np.full(n, 0.5), np.full(m, 0.5)
+    minus it; a state and its pair are drawn together both ways (transitivity); the pairs of a group sum to one at most (exclusivity). Groups
+    share no variable; each is left alone once its primal and dual residuals are small."""
+    out, left = np.zeros(len(group)), np.arange(len(group))
+    k = len(FOR)
     rules = body.shape[1]
-    u_rule, u_x, u_y, u_g = np.zeros((n, rules)), np.zeros(n), np.zeros(n), np.zeros(m)
     sign = np.r_[np.ones(k), -np.ones(rules - k)]
-    weight = np.r_[w_for, w_against]
+    weight = np.array([*FOR.values(), *AGAINST.values()])
+    x, y = np.full(len(pair), 0.5), np.full(len(group), 0.5)
+    u_rule, u_x, u_y, u_g = np.zeros((len(pair), rules)), np.zeros(len(pair)), np.zeros(len(pair)), np.zeros(len(group))
     goal = np.where(sign > 0, body, 1 - body)
-    degree = np.bincount(pair, minlength=m) + 1.0
-    size = np.bincount(group)[group]
-    for _ in range(rounds):
+    for turn in range(1, rounds + 1):
+        m = len(left)
         # rules: min w max(0, sign (goal - z)) + rho/2 (z - v)^2
         v = x[:, None] - u_rule
         gap = sign * (goal - v)
@@ -187,26 +205,53 @@ def solve(state: np.ndarray, pair: np.ndarray, group: np.ndarray, body: np.ndarr
         # exclusivity: projection on sum <= 1
         vg = y - u_g
         over = np.maximum(0, np.bincount(group, weights=vg) - 1)
-        z_g = vg - over[group] / size
+        z_g = vg - over[group] / np.bincount(group)[group]
+        x_old, y_old = x, y
         x = np.clip(((z_rule + u_rule).sum(1) + z_x + u_x) / (rules + 1), 0, 1)
-        y = np.clip((np.bincount(pair, weights=z_y + u_y, minlength=m) + z_g + u_g) / degree, 0, 1)
+        y = np.clip((np.bincount(pair, weights=z_y + u_y, minlength=m) + z_g + u_g) / (np.bincount(pair, minlength=m) + 1.0), 0, 1)
         u_rule += z_rule - x[:, None]
         u_x += z_x - x
         u_y += z_y - y[pair]
         u_g += z_g - y
-    return y
+        out[left] = y
+        if turn % 20 == 0:
+            moved = np.maximum.reduce([np.abs(x - x_old), np.abs(z_rule - x[:, None]).max(1), np.abs(z_x - x), np.abs(z_y - y[pair]), np.abs(y - y_old)[pair], np.abs(z_g - y)[pair]])
+            open_ = np.zeros(group.max() + 1, bool)
+            np.logical_or.at(open_, group[pair], moved > near)
+            stay = open_[group]
+            if not stay.any():
+                break
+            states = stay[pair]
+            to = np.cumsum(stay) - 1
+            left, pair, group = left[stay], to[pair[states]], np.unique(group[stay], return_inverse=True)[1]
+            x, y, goal, u_rule, u_x, u_y, u_g = x[states], y[stay], goal[states], u_rule[states], u_x[states], u_y[states], u_g[stay]
+    return out
 
 
 _OUT = pa.schema([("entity", pa.string()), ("ref", pa.string()), ("confidence", pa.float64())])
 
 
 def _solve_rows(entity: list[str], ref: list[str], body: np.ndarray) -> pa.RecordBatch:
-    """Groups are entities; rows are distinct, so equal evidence of one pair is one state."""
-    e, names = pd.factorize(np.array(entity, dtype=object))
-    p, pairs = pd.factorize(pd.Series(list(zip(e.tolist(), ref))))
-    group = np.array([x[0] for x in pairs])
-    value = solve(np.arange(len(p)), p, group, body)
-    return pa.RecordBatch.from_arrays([pa.array([names[g] for g in group], pa.string()), pa.array([x[1] for x in pairs], pa.string()), pa.array(value)], schema=_OUT)
+    """Groups are entities, whose rows lie together in order of ref; rows are distinct, so equal evidence of one pair is one state. Entities with the same
+    evidence have the same problem, which is solved once."""
+    start = [i for i in range(len(entity)) if not i or entity[i] != entity[i - 1]]
+    problems: dict[tuple, int] = {}
+    members, places, names = [], [], []
+    pair, group, rows = [], [], []
+    for a, b in zip(start, [*start[1:], len(entity)]):
+        refs = sorted(set(ref[a:b]))
+        local = {r: i for i, r in enumerate(refs)}
+        states = sorted((local[ref[i]], body[i].tobytes(), i) for i in range(a, b))
+        at = problems.setdefault(tuple((p, x) for p, x, _ in states), len(group))
+        if at == len(group):
+            pair += [at + p for p, _, _ in states]
+            rows += [i for _, _, i in states]
+            group += [len(problems) - 1] * len(refs)
+        members += [entity[a]] * len(refs)
+        places += range(at, at + len(refs))
+        names += refs
+    value = solve(np.array(pair), np.array(group), body[rows])
+    return pa.RecordBatch.from_arrays([pa.array(members, pa.string()), pa.array(names, pa.string()), pa.array(value[places])], schema=_OUT)
 
 
 def _solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -237,12 +282,14 @@ def match_entities(entities: DataFrame, references: DataFrame) -> DataFrame:
     telling word (up to one letter). Rows with a null id are left out; whatever else is null or blank is no evidence; repeated rows count once;
     either side may be empty. Problems of different entities share no variable, so partitions are solved by themselves; states of an entity are
     combined to distinct evidence before, so a record repeated over and over is no larger than one. Reference words are counted over all
-    references; the common ones (each on COMMON names or more) are sent to the tasks, and references only if they are few (else joins shuffle)."""
+    references; the common ones (each on a share COMMON of the names or more) are sent to the tasks, and references only if they are few (else joins
+    shuffle). Several entities may match one reference, since several sources describe it; exclusivity binds entities only."""
     spark = entities.sparkSession
     e = entities.where("entity is not null").distinct()
     r = materialize(references.where("ref is not null").distinct())
+    common = max(FEW, COMMON * r.count())
     counts = r.select(F.explode(F.array_distinct(F.filter(F.split(F.regexp_replace(F.lower(F.concat_ws(" ", "name", "full")), "[^a-z0-9]+", " "), " "), lambda w: w != ""))).alias("w")).groupBy("w").count()
-    shared = spark.sparkContext.broadcast(frozenset(x.w for x in counts.where(F.col("count") >= COMMON).orderBy(F.desc("count"), "w").limit(20_000).collect()) | {"airlines"})
+    shared = spark.sparkContext.broadcast(frozenset(x.w for x in counts.where(F.col("count") >= common).collect()) | {"airlines"})
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -71,7 +71,8 @@ def test_admm_against_grid():
 
     grid = np.linspace(0, 1, 11)
     best = min(loss(x, y) for y in itertools.product(grid, grid) if sum(y) <= 1 + 1e-9 for x in itertools.product(grid, grid, grid))
-    y = linkage.solve(np.arange(3), pair, group, body, rounds=3000)
+    y = linkage.solve(pair, group, body)
+    assert np.abs(y - linkage.solve(pair, group, body, rounds=20_000, near=1e-9)).max() < 0.01
     mine = min(loss(x, y) for x in itertools.product(np.linspace(0, 1, 41), repeat=3))
     assert y.sum() <= 1.01 and mine <= best + 0.1
 
@@ -93,6 +94,8 @@ def test_linkage_cases(spark):
     every = linkage.match_entities(ed.drop("ref"), rd)
     found = {(r.entity, r.ref) for r in every.where(f"confidence >= {linkage.CONFIDENCE}").collect()}
     assert found == {("E1", "A1"), ("E4", "P1"), ("E5", "P1"), ("E7", "P2")}
+    twice = linkage._solve_rows(["a", "a", "b", "b", "c"], ["x", "y", "y", "z", "x"], np.array([[1.0] + [0] * 12 + [1], [0] * 13 + [1], [1.0] + [0] * 12 + [1], [0] * 13 + [1], [0] * 13 + [1]]))
+    assert twice.column(1).to_pylist() == ["x", "y", "y", "z", "x"] and twice.column(2)[0] == twice.column(2)[2] and twice.column(2)[0].as_py() > 0.9 > 0.1 > twice.column(2)[4].as_py()
     assert every.groupBy("entity").agg(F.sum("confidence").alias("s")).where("s > 1.02").count() == 0
     assert linkage.match_entities(ed.drop("ref").where("false"), rd).count() == 0 == linkage.match_entities(ed.drop("ref"), rd.where("false")).count()
 
