@@ -203,7 +203,10 @@ def _links(batches: Iterator[pa.RecordBatch], similarity: float, miss: float) ->
             yield from _pair_batch(pairs)
             if len(held[0]) < before:
                 yield _thinned(held[0][:1])
-    if held is not None and len(held[0]) > 1:
+    if held is not None and 1 < len(held[0]) <= BLOCK:
+        i, j, _ = _within(held, least, similarity)
+        yield from _pair_batch([(held[1][i], held[1][j])])
+    elif held is not None and len(held[0]) > BLOCK:
         pairs, stand = _large(held, least, certain, similarity)
         yield from _pair_batch(pairs)
         if len(stand[0]) < len(held[0]):
@@ -294,8 +297,8 @@ def _links_of(met: DataFrame, signed: DataFrame, rows: DataFrame, similarity: fl
     return links
 
 
-def near_duplicate_classes(df: DataFrame, key: str = "chunk_no", text: str = "text", similarity: float = SIMILARITY, miss: float = MISS) -> DataFrame:
-    """(id, class): the class of every row whose text is near another's; class is the least id in it. Rows without such a neighbour are left out.
+def near_duplicate_links(df: DataFrame, key: str = "chunk_no", text: str = "text", similarity: float = SIMILARITY, miss: float = MISS) -> DataFrame:
+    """(a, b): the verified links between rows with near texts; of texts with one bag of words the least id stands for all, each of which is linked to it.
 
     Words are runs of letters, marks and digits in lower case. Two texts are near if twice their common words, repeats counted, are at least
     `similarity` of the sum of both word counts; a class is whatever such links join. Texts with one bag of words are one from the start,
@@ -326,4 +329,17 @@ def near_duplicate_classes(df: DataFrame, key: str = "chunk_no", text: str = "te
         joint = joint.unionByName(more)
     joint = materialize(joint)
     release(signed, *met)
-    return components(joint).select("id", F.col("component").alias("class"))
+    return joint
+
+
+def near_duplicate_classes(df: DataFrame, key: str = "chunk_no", text: str = "text", similarity: float = SIMILARITY, miss: float = MISS) -> DataFrame:
+    """(id, class): the class of every row whose text is near another's; class is the least id in it. Rows without such a neighbour are left out.
+    Terms as in near_duplicate_links."""
+    return components(near_duplicate_links(df, key, text, similarity, miss)).select("id", F.col("component").alias("class"))
+
+
+def near_duplicate_rows(df: DataFrame, key: str = "chunk_no", text: str = "text", similarity: float = SIMILARITY, miss: float = MISS) -> DataFrame:
+    """(id, class, links): one row per row of a class, with the number of verified links it has: of rows with one bag of words the least id has those of all."""
+    links = near_duplicate_links(df, key, text, similarity, miss)
+    count = links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("links"))
+    return components(links).select("id", F.col("component").alias("class")).join(count, "id")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from doclathe.llm.keyword_spam import spam_shares
 from doclathe.llm.leakage import leaked_items
 from doclathe.llm.linkage import CONFIDENCE, match_entities
-from doclathe.llm.near_duplicates import near_duplicate_classes
+from doclathe.llm.near_duplicates import near_duplicate_classes, near_duplicate_rows
 from doclathe.llm.page_body import body_lines
 from doclathe.llm.residue import residue_rows
 from doclathe.llm.site_lines import repeated_lines
@@ -49,6 +49,11 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return a.join(b, "class").where("chunk_a < chunk_b").select("chunk_a", "chunk_b")
 
 
+def p4_classes(spark: SparkSession, d: str) -> DataFrame:
+    """One row per row of a class, with its class and number of links: (chunk_no, class, links)."""
+    return near_duplicate_rows(table(spark, d, "semantic_chunks")).select(F.col("id").alias("chunk_no"), "class", "links")
+
+
 def p4_rules(spark: SparkSession, d: str) -> DataFrame:
     """Classes of the distinct rule descriptions that share 85 % of their words: (text_id, class)."""
     texts = table(spark, d, "rule_snapshots").select(F.lower(F.trim("description")).alias("text")).distinct().select(F.xxhash64("text").alias("text_id"), "text")
@@ -71,7 +76,7 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
     return spam_shares(table(spark, d, "documents")).where("share > 0.5").select("doc_id")
 
 
-QUERIES: dict[str, Query] = {"p1_found": p1_found, "p2_found": p2_found, "p2_matches": p2_matches, "p3_found": p3_found, "p4_found": p4_found, "p4_rules": p4_rules, "p7_found": p7_found, "p8_ids": p8_ids, "p9_found": p9_found, "p10_found": p10_found}
+QUERIES: dict[str, Query] = {"p1_found": p1_found, "p2_found": p2_found, "p2_matches": p2_matches, "p3_found": p3_found, "p4_found": p4_found, "p4_classes": p4_classes, "p4_rules": p4_rules, "p7_found": p7_found, "p8_ids": p8_ids, "p9_found": p9_found, "p10_found": p10_found}
 
 # --- SQL of the queries above; the others are tested against brute force or held-out rows in tests/llm ---
 

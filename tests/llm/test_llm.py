@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from doclathe.llm import crf, leakage, linkage, page_body, page_rules, residue, residue_rules, tokenizer, visible
 from doclathe.llm.keyword_spam import spam_shares
-from doclathe.llm.near_duplicates import _agree, _bands, _large, _links, bounds, near_duplicate_classes
+from doclathe.llm.near_duplicates import _agree, _bands, _large, _links, bounds, near_duplicate_classes, near_duplicate_rows
 from doclathe.llm.site_lines import repeated_lines, strip_repeated_lines
 from doclathe.llm.words import occurrence, words
 
@@ -220,6 +220,20 @@ def test_classes_against_brute_force(spark):
     assert near_duplicate_classes(df.where("chunk_no < 5")).count() == len(classes_by_force(texts[:5]))
 
 
+def test_links_do_not_depend_on_the_place_of_a_key():
+    """Three rows of one key, the first near both others, which are near each other: alone, first and last in their partition."""
+    bits = np.array([3, 3, 3, 1 << 40], np.int64)
+    rows_ = lambda keys, ids: pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(ids, pa.int64()), pa.array([100] * len(ids), pa.int32()), *(pa.array(bits[: len(ids)]) for _ in range(3))], names=["key", "id", "n", "s0", "s1", "s2"])
+    for batch in (rows_([5, 5, 5], [1, 2, 3]), rows_([5, 5, 5, 9], [1, 2, 3, 4])):
+        out = [r for b in _links(iter([batch]), 0.8, 0.002) for r in zip(*(c.to_pylist() for c in b.columns))]
+        assert set(out) == {(1, 2), (1, 3), (2, 3)}
+
+
+def test_rows_with_links(spark):
+    df = spark.createDataFrame([(1, "a b c d e f g h i j"), (2, "j i h g f e d c b a"), (3, "a b c d e f g h i x"), (4, "quite another text")], "chunk_no long, text string")
+    assert set(rows(near_duplicate_rows(df))) == {(1, 1, 2), (2, 1, 1), (3, 1, 1)}
+
+
 def test_hot_group_of_copies_and_edits(spark):
     rng = random.Random(4)
     vocabulary = [f"v{i}" for i in range(3000)]
@@ -490,7 +504,7 @@ def test_spam_shares(spark):
 def test_queries_run(spark, data):
     from doclathe.llm.queries import QUERIES
 
-    want = {"p1_found": ["page_id", "line_no"], "p2_found": ["entity_id", "ref_id"], "p3_found": ["page_id", "line_no"], "p4_found": ["chunk_a", "chunk_b"], "p7_found": ["scrape_id"], "p8_ids": ["doc_id", "ids"], "p9_found": ["doc_id", "item_id"], "p10_found": ["doc_id"]}
+    want = {"p1_found": ["page_id", "line_no"], "p2_found": ["entity_id", "ref_id"], "p3_found": ["page_id", "line_no"], "p4_found": ["chunk_a", "chunk_b"], "p4_classes": ["chunk_no", "class", "links"], "p7_found": ["scrape_id"], "p8_ids": ["doc_id", "ids"], "p9_found": ["doc_id", "item_id"], "p10_found": ["doc_id"]}
     for name, columns in want.items():
         got = QUERIES[name](spark, data)
         assert got.columns == columns and got.count() == got.distinct().count()
