@@ -341,5 +341,5 @@ def near_duplicate_classes(df: DataFrame, key: str = "chunk_no", text: str = "te
 def near_duplicate_rows(df: DataFrame, key: str = "chunk_no", text: str = "text", similarity: float = SIMILARITY, miss: float = MISS) -> DataFrame:
     """(id, class, links): one row per row of a class, with the number of verified links it has: of rows with one bag of words the least id has those of all."""
     links = near_duplicate_links(df, key, text, similarity, miss)
-    count = links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("links"))
+    count = links.where("a <> b").select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("links"))
     return components(links).select("id", F.col("component").alias("class")).join(count, "id")
