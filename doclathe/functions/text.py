@@ -242,13 +242,73 @@ def failure(html_: Column) -> Column:
 
 # Signs of a wall against robots, looked for at the start of a page.
 BOT_SIGNS = (
-    "just a moment", "checking your browser", "verify you are human", "are you a robot", "captcha", "cloudflare", "ray id", "ddos protection", "access denied",
-    "unusual traffic", "enable javascript and cookies", "security check", "bot protection", "attention required", "please verify", "security verification", "not a bot", "malicious bots",
-)
+    "verifies you are not a bot",
+    "not a bot",
+    "are you a robot",
+    "performing security verification",
+    "security verification",
+    "security service to protect",
+    "protect against malicious bots",
+    "malicious bots",
+    "while the website verifies",
+    "checking your browser",
+    "enable javascript and cookies",
+    "browser security check",
+    "ddos protection",
+    "cloudflare ray id",
+    "cf-browser-verification",
+    "one more step",
+    "_cf_chl",
+    "ak_bmsc",
+)
+# Such signs of one kind of site, looked for in the whole page.
+LEGAL_SITE_SIGNS = (
+    "access denied",
+    "unusual behaviour",
+    "security check",
+    "please enable cookies",
+    "cf-error",
+    "ray id",
+    "verify you are human",
+    "captcha",
+    "403 forbidden",
+)
+# Marks of pages that scripts fill or unfold.
+SCRIPT_SIGNS = (
+    'aria-expanded="false"',
+    'data-state="closed"',
+    'data-state="inactive"',
+    "<details",
+    "window.__NEXT_DATA__",
+    "window.__NUXT__",
+    "__vue_app__",
+    "ng-version",
+    "data-reactroot",
+    "svelte-announcer",
+)
+#: Characters below which a page is taken to need a browser, and below which an extracted text is too thin.
+LEAST_HTML, LEAST_TEXT = 5000, 200
+
+
+def is_bot_wall(html_: Column, signs: Sequence[str] = BOT_SIGNS, within: int | None = 5000) -> Column:
+    """Any sign stands in the first characters, or with None in the whole of a page, case aside; null is no wall."""
+    part = html_ if within is None else F.substring(html_, 1, within)
+    return F.coalesce(F.lower(part).rlike(any_phrase(signs)), F.lit(False))
 
 
-def is_bot_wall(html_: Column, signs: Sequence[str] = BOT_SIGNS, within: int = 5000) -> Column:
-    return F.coalesce(F.lower(F.substring(html_, 1, within)).rlike(any_phrase(signs)), F.lit(False))
+def needs_browser(html_: Column, least: int = LEAST_HTML, signs: Sequence[str] = SCRIPT_SIGNS) -> Column:
+    """A page that is short or that scripts fill; null needs one."""
+    return F.coalesce((F.length(html_) < least) | html_.rlike(any_phrase(signs)), F.lit(True))
+
+
+def scrape_cascade(static_html: Column, static_text: Column, browser_html: Column, browser_text: Column, least_html: int = LEAST_HTML, least_text: int = LEAST_TEXT, signs: Sequence[str] = BOT_SIGNS) -> Column:
+    """(via, text, html) of a page fetched plainly and, where that isn't enough, by a browser: static if there is no bot wall, no need for a browser and
+    text enough; else browser under the same tests of wall and text; else failed, with no text and the html of the last fetch that gave any."""
+    enough = lambda h, t: h.isNotNull() & ~is_bot_wall(h, signs) & (F.length(F.coalesce(t, F.lit(""))) >= least_text)
+    out = lambda via, t, h: F.struct(F.lit(via).alias("via"), t.alias("text"), F.coalesce(h, F.lit("")).alias("html"))
+    walled = F.when(is_bot_wall(browser_html, signs), browser_html).otherwise(static_html)
+    first = F.when((F.coalesce(static_html, F.lit("")) != "") & ~needs_browser(static_html, least_html) & enough(static_html, static_text), out("static", static_text, static_html))
+    return first.when((F.coalesce(browser_html, F.lit("")) != "") & enough(browser_html, browser_text), out("browser", browser_text, browser_html)).otherwise(out("failed", F.lit(""), walled))
 
 
 def language(c: Column) -> Column:
@@ -330,6 +390,34 @@ def last_segment_title(c: Column) -> Column:
     return F.initcap(F.regexp_replace(F.regexp_replace(last, r"\.[a-z]+\z", ""), "[-_]+", " "))
 
 
+def query_value(c: Column, name: str) -> Column:
+    """The value of a parameter of a URL's query, percent signs decoded; null if it isn't there."""
+    return F.try_url_decode(F.try_parse_url(c, F.lit("QUERY"), F.lit(name)))
+
+
+def celex(c: Column) -> Column:
+    """The identifier after CELEX: in the parameters uri or from of a legal site's URL; '' if there is none."""
+    of = lambda name: F.when(F.upper(query_value(c, name)).startswith("CELEX:"), F.regexp_replace(query_value(c, name), "^[^:]*:", ""))
+    return F.coalesce(of("uri"), of("from"), F.lit(""))
+
+
+def url_section(c: Column) -> Column:
+    """A name for a page: its CELEX identifier, or its last path segment with blanks for hyphens, as a title."""
+    path = F.regexp_replace(F.regexp_extract(c, r"^[a-z]+://[^/?#]*([^?#]*)", 1), r"/+\z", "")
+    last = F.element_at(F.split(path, "/"), -1)
+    return F.when(celex(c) != "", F.concat(F.lit("CELEX:"), celex(c))).otherwise(F.initcap(F.replace(last, F.lit("-"), F.lit(" "))))
+
+
+def market(c: Column) -> Column:
+    """(market, locale): the first two parts of a URL's path."""
+    return F.struct(path_part(c, 1).alias("market"), path_part(c, 2).alias("locale"))
+
+
+def slug_id(c: Column) -> Column:
+    """The id before the first hyphen of a slug."""
+    return F.substring_index(c, "-", 1)
+
+
 def label(c: Column) -> Column:
     return F.initcap(F.replace(c, F.lit("_"), F.lit(" ")))
 

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from doclathe.runtime import materialize, release
+from doclathe.runtime import materialize
 
 # Links that are never followed.
 SKIP = ("calendar", "chart", "/cart", "/checkout", "/login", "/signin", "/register", "javascript:", "mailto:", "tel:")
@@ -20,37 +22,36 @@ def followable(url: Column, skip: Sequence[str] = SKIP) -> Column:
     return ~bad
 
 
-def crawl(starts: DataFrame, links: DataFrame, pages: DataFrame | None = None, depth: int = 10) -> DataFrame:
-    """(start, url, depth): pages reached from each start, by fewest links, at most `depth` of them.
+def crawl(starts: DataFrame, links: DataFrame, pages: DataFrame | None = None, depth: int | None = None) -> DataFrame:
+    """(start, url, depth, place): pages reached from each start, by fewest links (at most `depth`, if given), in the order in which a queue meets them.
 
-    starts: start, url. links: from_url, to_url. pages: url, accepted; a page that isn't accepted is neither given out nor expanded, unknown pages
-    count as accepted when `pages` is not given and as rejected otherwise. Skipped links aren't followed, but a start may be one. Each level is two
-    joins; visited pages are kept out by an anti join; each level is written to the shared folder. Cycles and repeated links are harmless."""
-    edges = links.where("from_url is not null and to_url is not null").where(followable(F.col("to_url"))).select("from_url", "to_url").distinct()
+    starts: start, url. links: from_url, to_url, and pos, the place of a link on its page, if order matters (else by to_url). pages: url, accepted; a page
+    that isn't accepted is neither given out nor expanded, unknown pages count as accepted when `pages` is not given and as rejected otherwise. Skipped
+    links aren't followed, but a start may be one. place orders the pages of a start: those nearer first, then those whose first link was met earlier; it
+    is the list of positions of links on the way, so it grows by one number a level. Visited pages are kept out by an anti join with all levels, each of
+    which is written once to the shared folder. Ends when nothing new is met. Cycles and repeated links are harmless."""
+    if "pos" not in links.columns:
+        links = links.withColumn("pos", F.lit(0))
+    edges = links.where("from_url is not null and to_url is not null").where(followable(F.col("to_url"))).groupBy("from_url", "to_url").agg(F.min("pos").alias("pos"))
     ok = (lambda df: df.join(pages.where("accepted").select("url").distinct(), "url", "left_semi")) if pages is not None else (lambda df: df)
-    frontier = materialize(ok(starts.where("url is not null").select("start", "url").distinct()).withColumn("depth", F.lit(0)))
-    levels, seen = [frontier], starts.where("url is not null").select("start", "url").distinct()
-    for level in range(1, depth + 1):
-        found = frontier.select("start", F.col("url").alias("from_url")).join(edges, "from_url").select("start", F.col("to_url").alias("url")).distinct()
-        fresh = materialize(found.join(seen, ["start", "url"], "left_anti"))
-        if fresh.isEmpty():
-            break
-        seen = materialize(seen.unionByName(fresh))
-        frontier = materialize(ok(fresh).withColumn("depth", F.lit(level)))
-        release(fresh)
+    first = starts.where("url is not null").select("start", "url").distinct()
+    levels, seen = [], []
+    frontier = materialize(ok(first).select("start", "url", F.lit(0).alias("depth"), F.array().cast("array<struct<pos:bigint,url:string>>").alias("place")))
+    seen.append(materialize(first))
+    while not frontier.isEmpty():
         levels.append(frontier)
-        if frontier.isEmpty():
+        if depth is not None and len(levels) > depth:
             break
-    out = levels[0]
-    for x in levels[1:]:
-        out = out.unionByName(x)
-    return out.select("start", "url", "depth")
+        step = F.concat("place", F.array(F.struct(F.col("pos").cast("long").alias("pos"), F.col("to_url").alias("url"))))
+        found = frontier.withColumnRenamed("url", "from_url").join(edges, "from_url").select("start", F.col("to_url").alias("url"), step.alias("place")).groupBy("start", "url").agg(F.min("place").alias("place"))
+        fresh = materialize(found.join(reduce(DataFrame.unionByName, [x.select("start", "url") for x in seen]), ["start", "url"], "left_anti"))
+        seen.append(fresh)
+        frontier = materialize(ok(fresh).select("start", "url", F.lit(len(levels)).alias("depth"), "place"))
+    return reduce(DataFrame.unionByName, levels or [frontier])
 
 
 def first_pages(reached: DataFrame, limits: DataFrame, default: int = 5) -> DataFrame:
-    """The first max_pages pages of each start, nearest first, then by URL. limits: start, max_pages (null means the default). A ranking window with
-    a limit, which keeps only that many rows per start and task before the shuffle."""
-    from pyspark.sql import Window as W
-
-    rank = F.row_number().over(W.partitionBy("start").orderBy("depth", "url"))
-    return reached.join(limits.select("start", F.coalesce("max_pages", F.lit(default)).alias("max_pages")), "start").withColumn("rank", rank).where("rank <= max_pages").drop("max_pages")
+    """The first max_pages pages of each start in the order of discovery. limits: start, max_pages (null means the default). A ranking window with a limit,
+    which keeps only that many rows per start and task before the shuffle."""
+    rank = F.row_number().over(W.partitionBy("start").orderBy("depth", "place", "url"))
+    return reached.join(limits.select("start", F.coalesce("max_pages", F.lit(default)).alias("max_pages")), "start").withColumn("rank", rank).where("rank <= max_pages").drop("max_pages", "place")

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from doclathe.functions import text as T
 from doclathe.operators import jsonops as J
 from doclathe.operators.chunking import assemble, pack_text
-from doclathe.operators.records import keep_first
+from doclathe.operators.records import batches, keep_first
 
 
 class Backend(Protocol):
@@ -80,12 +80,10 @@ def ask(df: DataFrame, request: str, backend: Backend, tries: int = 3, wait: flo
 
 def refine(chunks: DataFrame, backend: Backend, size: int = 30, per: tuple[str, ...] = ("source_id",), order: tuple[str, ...] = ("chunk_no",)) -> DataFrame:
     """(per, batch, pos, id, parent_id, section, text): unsent chunks refined batch by batch, the first of equal prefix and section kept, in batch order.
-
-    Batches are slices of each source by a hash of the order, formed without one task per source: batch membership needs no neighbour, only a count."""
-    rows = chunks.where(~F.coalesce("sent", F.lit(False))).where(F.col("text").isNotNull())
-    each = F.struct(*order, "id", "section", "text")
-    n = rows.groupBy(*per).agg(F.ceil(F.count("*") / size).cast("long").alias("n"))
-    placed = rows.join(F.broadcast(n) if n.limit(100_001).count() <= 100_000 else n, list(per)).withColumn("batch", F.pmod(F.xxhash64(*order), F.col("n")).cast("int"))
+    Batches are slices of `size` chunks of each source in order; a source of any size spreads over tasks."""
+    rows = chunks.where(~F.coalesce("sent", F.lit(False))).where(F.col("text").isNotNull()).select(*per, *order, "id", "section", "text")
+    placed = batches(rows, list(per), list(order), size)
+    each = F.struct("pos", "id", "section", "text")
     requests = placed.groupBy(*per, "batch").agg(F.to_json(F.transform(F.array_sort(F.collect_list(each)), lambda s: F.struct(s["id"].alias("id"), s["section"].alias("section"), s["text"].alias("text")))).alias("request"))
     replies = ask(requests, "request", backend)
     found = replies.select(*per, "batch", F.posexplode(J.valid_chunks(J.salvage(F.col("reply")))).alias("pos", "c")).select(*per, "batch", "pos", "c.*")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from doclathe.runtime import materialize
+from doclathe.runtime import materialize, small
 
 
 def keep_first(df: DataFrame, keys: Sequence[Column | str], order: Sequence[str], last: bool = False) -> DataFrame:
@@ -44,15 +44,18 @@ def resequence(df: DataFrame, order: Sequence[str], name: str = "rule_id", prefi
 
 
 def batches(df: DataFrame, per: Sequence[str], order: Sequence[str], size: int) -> DataFrame:
-    """Rows of each group in slices of `size`: columns pos (from 0, long) and batch.
-
-    Rows are ordered by range partitions over group and order, so a large group spreads over tasks; each partition's rows are numbered by
-    themselves and offset by what the group has in partitions before."""
-    cols = [*per, *order]
-    parts = materialize(df.repartitionByRange(*(F.col(c) for c in cols)).withColumn("__part", F.spark_partition_id()))
-    own = parts.withColumn("__n", F.row_number().over(W.partitionBy("__part", *per).orderBy(*order)))
-    counts = parts.groupBy(*per, "__part").agg(F.count("*").alias("__c"))
-    before = counts.withColumn("__before", F.sum("__c").over(W.partitionBy(*per).orderBy("__part")) - F.col("__c")).drop("__c")
-    same = [own[c].eqNullSafe(before[c]) for c in [*per, "__part"]]
-    joined = own.join(before, same).select(*(own[c] for c in df.columns), (F.col("__n") - 1 + F.col("__before")).alias("pos"))
-    return joined.withColumn("batch", F.floor(F.col("pos") / size))
+    """Rows of each group in slices of `size`: columns pos (from 0, long) and batch. Rows that agree in group and order are numbered in any order.
+
+    Rows travel once: to range partitions over group and order, so a large group spreads over tasks, where they are written in order. The place of a row
+    is its place in its partition, from where its group begins there, plus what the group has in partitions before; only these counts, one row per group
+    and partition, are grouped and joined."""
+    cols = [F.col(f"`{c}`") for c in [*per, *order]]
+    parts = df.repartitionByRange(*cols).sortWithinPartitions(*cols).withColumn("__part", F.spark_partition_id()).withColumn("__id", F.monotonically_increasing_id())
+    parts = materialize(parts)  # a lost task must not draw other split points
+    counts = parts.groupBy(*per, "__part").agg(F.count("*").alias("__c"), F.min("__id").alias("__first"))
+    before = counts.withColumn("__before", F.sum("__c").over(W.partitionBy(*per).orderBy("__part")) - F.col("__c"))
+    before = small(materialize(before.select(*(F.col(f"`{c}`").alias(f"__per{i}") for i, c in enumerate(per)), F.col("__part").alias("__at"), "__first", "__before")))
+    same = [F.col(f"`{c}`").eqNullSafe(F.col(f"__per{i}")) for i, c in enumerate(per)]
+    joined = parts.join(before, [*same, F.col("__part") == F.col("__at")])
+    pos = F.col("__id") - F.col("__first") + F.col("__before")
+    return joined.select(*(F.col(f"`{c}`") for c in df.columns), pos.alias("pos"), F.floor(pos / size).alias("batch"))

@@ -245,32 +245,36 @@ def q_registry(spark, d):
     return t.select("page_id", M.registry_match(t, _REGISTRY, F.split_part("source", F.lit("/"), F.lit(3))).alias("scraper"))
 
 
-_graph = "SELECT doc_id::VARCHAR AS from_url, (2 * doc_id + k)::VARCHAR AS to_url FROM documents, (SELECT unnest([0, 1]) AS k) UNION ALL SELECT doc_id::VARCHAR, (doc_id // 3)::VARCHAR FROM documents"
+_graph = "SELECT doc_id::VARCHAR AS from_url, unnest([(2 * doc_id + 1)::VARCHAR, (2 * doc_id)::VARCHAR, (doc_id // 3)::VARCHAR]) AS to_url, unnest([0, 1, 2]) AS pos FROM documents"
 
 
-def _crawled(spark, d, depth=6):
+def _crawled(spark, d):
     docs = table(spark, d, "documents")
-    links = docs.select(F.col("doc_id").cast("string").alias("from_url"), F.explode(F.array(*(x.cast("string") for x in (2 * F.col("doc_id"), 2 * F.col("doc_id") + 1, F.floor(F.col("doc_id") / 3))))).alias("to_url"))
+    links = docs.select(F.col("doc_id").cast("string").alias("from_url"), F.posexplode(F.array(*(x.cast("string") for x in (2 * F.col("doc_id") + 1, 2 * F.col("doc_id"), F.floor(F.col("doc_id") / 3))))).alias("pos", "to_url"))
     pages = docs.select(F.col("doc_id").cast("string").alias("url"), (F.length(F.coalesce("text", F.lit(""))) >= 150).alias("accepted"))
     starts = table(spark, d, "sources").select(F.col("id").alias("start"), F.length("id").cast("string").alias("url"))
-    return CR.crawl(starts, links, pages, depth)
+    return CR.crawl(starts, links, pages)
 
 
-_crawl = f"""
+_bfs = f"""
     WITH RECURSIVE e AS ({_graph}), ok AS (SELECT doc_id::VARCHAR AS url FROM documents WHERE length(coalesce(text, '')) >= 150),
-    r AS (SELECT id AS start, length(id)::VARCHAR AS url, 0 AS depth FROM sources WHERE length(id)::VARCHAR IN (SELECT url FROM ok)
-          UNION SELECT r.start, e.to_url, r.depth + 1 FROM r JOIN e ON e.from_url = r.url JOIN ok ON ok.url = e.to_url WHERE r.depth < 6)"""
+    r AS (SELECT id AS start, [length(id)::VARCHAR] AS urls, [length(id)::VARCHAR] AS seen, [[]::INT[]] AS places, 0 AS depth FROM sources WHERE length(id)::VARCHAR IN (SELECT url FROM ok)
+          UNION ALL SELECT r.start, n.urls, list_concat(r.seen, n.urls), n.places, r.depth + 1 FROM r, LATERAL (
+            SELECT list(to_url ORDER BY place) AS urls, list(place ORDER BY place) AS places FROM (
+              SELECT e.to_url, min(list_concat(f.place, [e.pos])) AS place FROM (SELECT unnest(r.urls) AS url, unnest(r.places) AS place) f JOIN e ON e.from_url = f.url
+              WHERE e.to_url IN (SELECT url FROM ok) AND NOT list_contains(r.seen, e.to_url) GROUP BY e.to_url)) n WHERE len(n.urls) > 0),
+    m AS (SELECT start, unnest(urls) AS url, unnest(places) AS place, depth FROM r)"""
 
 
-@query(_crawl + " SELECT start, url, min(depth) AS depth FROM r GROUP BY start, url")
+@query(_bfs + " SELECT start, url, depth FROM m")
 def q_bfs(spark, d):
-    return _crawled(spark, d)
+    return _crawled(spark, d).select("start", "url", "depth")
 
 
-@query(_crawl + """, m AS (SELECT start, url, min(depth) AS depth FROM r GROUP BY start, url), k AS (SELECT m.*, row_number() OVER (PARTITION BY start ORDER BY depth, m.url) AS rank, coalesce(max_pages, 5) AS most FROM m JOIN sources ON id = start)
+@query(_bfs + """, k AS (SELECT m.*, row_number() OVER (PARTITION BY start ORDER BY depth, place) AS rank, coalesce(max_pages, 5) AS most FROM m JOIN sources ON id = start)
     SELECT start, url, depth, rank FROM k WHERE rank <= most""")
 def q_crawl_limits(spark, d):
-    """The feature is the limit: the first max_pages pages of each start."""
+    """The feature is the limit: the first max_pages pages of each start, in order of discovery."""
     return CR.first_pages(_crawled(spark, d), table(spark, d, "sources").select(F.col("id").alias("start"), "max_pages"))
 
 
@@ -360,36 +364,41 @@ def q_pending_sources(spark, d):
     return I.pending(table(spark, d, "sources").select("id"), table(spark, d, "page_texts").select(F.col("source_id").alias("id")), ["id"])
 
 
-def _snap(spark, d, no: int):
-    t = table(spark, d, "rule_snapshots").where(F.col("snapshot_no") == no).withColumn("rule_id", F.upper(T.strip(F.col("rule_id"))))
-    return I.snapshot(t, ["loaded_at", "title", "description", "version", "category", "source"])
+def _snaps(spark, d):
+    """Each snapshot's rules and, as previous, those of the snapshot numbered one less."""
+    t = table(spark, d, "rule_snapshots").withColumn("rule_id", F.upper(T.strip(F.col("rule_id"))))
+    rules = I.snapshot(t, ["loaded_at", "title", "description", "version", "category", "source"], ["snapshot_no"])
+    numbers = rules.select("snapshot_no").distinct()
+    before = rules.withColumn("snapshot_no", F.col("snapshot_no") + 1).join(numbers, "snapshot_no", "left_semi")
+    return rules.join(before.select("snapshot_no").distinct(), "snapshot_no", "left_semi"), before
 
 
 _own = f"sha256(lower({strip("coalesce(title, '')")}) || '||' || lower({strip("coalesce(description, '')")}))"
-_snap_sql = f"""SELECT rule_id, {_own} AS content_hash, title, category, source, coalesce(version, 1) AS version FROM (SELECT * REPLACE (upper({strip('rule_id')}) AS rule_id) FROM rule_snapshots WHERE snapshot_no = @NO AND rule_id IS NOT NULL)
-    QUALIFY row_number() OVER (PARTITION BY rule_id ORDER BY loaded_at DESC NULLS LAST, title DESC NULLS LAST, description DESC NULLS LAST, version DESC NULLS LAST, category DESC NULLS LAST, source DESC NULLS LAST) = 1"""
-_both = f"WITH a AS ({_snap_sql.replace('@NO', '6')}), b AS ({_snap_sql.replace('@NO', '5')})"
+_both = f"""
+    WITH s AS (SELECT snapshot_no, rule_id, {_own} AS content_hash, title, category, source, coalesce(version, 1) AS version FROM (SELECT * REPLACE (upper({strip('rule_id')}) AS rule_id) FROM rule_snapshots WHERE rule_id IS NOT NULL)
+      QUALIFY row_number() OVER (PARTITION BY snapshot_no, rule_id ORDER BY loaded_at DESC NULLS LAST, title DESC NULLS LAST, description DESC NULLS LAST, version DESC NULLS LAST, category DESC NULLS LAST, source DESC NULLS LAST) = 1),
+    a AS (SELECT * FROM s WHERE snapshot_no - 1 IN (SELECT snapshot_no FROM s)), b AS (SELECT * REPLACE (snapshot_no + 1 AS snapshot_no) FROM s WHERE snapshot_no + 1 IN (SELECT snapshot_no FROM s))"""
 _change = "CASE WHEN b.content_hash IS NULL THEN 'added' WHEN a.content_hash IS NULL THEN 'removed' WHEN a.content_hash <> b.content_hash THEN 'modified' ELSE 'unchanged' END"
 
 
-@query(f"{_both} SELECT rule_id, {_change} AS change FROM a FULL JOIN b USING (rule_id)")
+@query(f"{_both} SELECT snapshot_no, rule_id, {_change} AS change FROM a FULL JOIN b USING (snapshot_no, rule_id)")
 def q_detect_changes(spark, d):
-    return I.detect_changes(_snap(spark, d, 6), _snap(spark, d, 5))
+    return I.detect_changes(*_snaps(spark, d), per=["snapshot_no"])
 
 
-@query(f"{_both}, c AS (SELECT {_change} AS change FROM a FULL JOIN b USING (rule_id)) SELECT k AS change, count(c.change) AS n FROM (SELECT unnest(['added', 'removed', 'modified', 'unchanged']) AS k) LEFT JOIN c ON c.change = k GROUP BY k")
+@query(f"{_both}, c AS (SELECT snapshot_no, {_change} AS change FROM a FULL JOIN b USING (snapshot_no, rule_id)), n AS (SELECT DISTINCT snapshot_no FROM c) SELECT n.snapshot_no, k AS change, count(c.change) AS n FROM n CROSS JOIN (SELECT unnest(['added', 'removed', 'modified', 'unchanged']) AS k) LEFT JOIN c ON c.change = k AND c.snapshot_no = n.snapshot_no GROUP BY ALL")
 def q_change_counts(spark, d):
-    return I.change_report(I.detect_changes(_snap(spark, d, 6), _snap(spark, d, 5)))
+    return I.change_report(I.detect_changes(*_snaps(spark, d), per=["snapshot_no"]), per=["snapshot_no"])
 
 
-@query(f"{_both} SELECT a.rule_id, a.content_hash, CASE WHEN b.content_hash IS NULL THEN 1 WHEN b.content_hash <> a.content_hash THEN a.version + 1 ELSE a.version END AS version FROM a LEFT JOIN b USING (rule_id)")
+@query(f"{_both} SELECT snapshot_no, a.rule_id, a.content_hash, CASE WHEN b.content_hash IS NULL THEN 1 WHEN b.content_hash <> a.content_hash THEN a.version + 1 ELSE a.version END AS version FROM a LEFT JOIN b USING (snapshot_no, rule_id)")
 def q_apply_versions(spark, d):
-    return I.apply_versions(_snap(spark, d, 6), _snap(spark, d, 5)).select("rule_id", "content_hash", "version")
+    return I.apply_versions(*_snaps(spark, d), per=["snapshot_no"]).select("snapshot_no", "rule_id", "content_hash", "version")
 
 
-@query(f"{_both} SELECT a.rule_id, CASE WHEN a.version > 1 THEN 'updated' WHEN a.content_hash NOT IN (SELECT content_hash FROM b) THEN 'new' ELSE 'unchanged' END AS state FROM a")
+@query(f"{_both} SELECT snapshot_no, a.rule_id, CASE WHEN a.version > 1 THEN 'updated' WHEN (snapshot_no, a.content_hash) NOT IN (SELECT (snapshot_no, content_hash) FROM b) THEN 'new' ELSE 'unchanged' END AS state FROM a")
 def q_version_states(spark, d):
-    return I.version_states(_snap(spark, d, 6), _snap(spark, d, 5)).select("rule_id", "state")
+    return I.version_states(*_snaps(spark, d), per=["snapshot_no"]).select("snapshot_no", "rule_id", "state")
 
 
 # --- validation ------------------------------------------------------------------------------------------------------------------------------
@@ -561,10 +570,10 @@ def q_progress(spark, d):
     return RP.progress(table(spark, d, "documents"), _MARKERS, "doc_id", "text")
 
 
-@query("SELECT entity_type, count(*) AS n, sum(coalesce(len(services), 0))::BIGINT AS services, count(DISTINCT source_id) AS sources FROM clean_entities GROUP BY entity_type")
+@query("SELECT entity_type, count(*) AS n, sum(coalesce(len(services), 0))::BIGINT AS services, count(DISTINCT source_id) + max((source_id IS NULL)::INT) AS sources FROM clean_entities GROUP BY entity_type")
 def q_type_counts(spark, d):
     size = F.when(F.col("services").isNull(), 0).otherwise(F.size("services"))
-    return table(spark, d, "clean_entities").groupBy("entity_type").agg(F.count("*").alias("n"), F.sum(size).alias("services"), F.count_distinct("source_id").alias("sources"))
+    return table(spark, d, "clean_entities").groupBy("entity_type").agg(F.count("*").alias("n"), F.sum(size).alias("services"), RP.distinct_count(F.col("source_id")).alias("sources"))
 
 
 # --- stores ----------------------------------------------------------------------------------------------------------------------------------

@@ -181,24 +181,33 @@ add("q_format_sniff", q_format_sniff, f"""SELECT scrape_id, {_html.format('html'
 
 
 def q_failure_diagnosis(spark, d):
-    return table(spark, d, "scrape_results").select("scrape_id", T.failure(F.col("html")).alias("failure"), T.is_bot_wall(F.col("html")).alias("bot_wall"))
+    return table(spark, d, "scrape_results").select("scrape_id", T.failure(F.col("html")).alias("failure"), T.is_bot_wall(F.col("html")).alias("bot_wall"), T.is_bot_wall(F.col("text"), T.LEGAL_SITE_SIGNS, None).alias("site_wall"))
 
 
 _low = "lower(coalesce(html, ''))"
-add("q_failure_diagnosis", q_failure_diagnosis, f"SELECT scrape_id, CASE WHEN {_low} = '' THEN 'no response' " + " ".join(f"WHEN {has(_low, T.any_phrase(p))} THEN {lit(n)}" for n, p in T.FAILURES) + f" WHEN length({_low}) < 1000 THEN 'near-empty response' ELSE 'structure not recognised' END AS failure, coalesce({has('lower(substr(html, 1, 5000))', T.any_phrase(T.BOT_SIGNS))}, false) AS bot_wall FROM scrape_results")
+_wall = "regexp_matches(lower(substr({0}, 1, 5000)), 'not a bot|are you a robot|security verification|security service to protect|malicious bots|while the website verifies|checking your browser|enable javascript and cookies|browser security check|ddos protection|cloudflare ray id|cf-browser-verification|one more step|_cf_chl|ak_bmsc')"
+add("q_failure_diagnosis", q_failure_diagnosis, f"""SELECT scrape_id, CASE WHEN {_low} = '' THEN 'no response'
+    WHEN regexp_matches({_low}, 'are you a robot|verify you are human|captcha|cloudflare|ray id|security check|ddos protection|access denied|unusual traffic|checking your browser') THEN 'bot detection'
+    WHEN regexp_matches({_low}, 'subscribe to read|sign in to continue|members only|login required|subscription required|unlock this article|create an account') THEN 'paywall'
+    WHEN regexp_matches({_low}, 'page not found|404 not found|doesn''t exist|no longer available|has been removed') THEN 'page not found'
+    WHEN length({_low}) < 1000 THEN 'near-empty response' ELSE 'structure not recognised' END AS failure, coalesce({_wall.format('html')}, false) AS bot_wall,
+    coalesce(regexp_matches(lower(text), 'access denied|unusual behaviour|security check|please enable cookies|cf-error|ray id|verify you are human|captcha|403 forbidden'), false) AS site_wall FROM scrape_results""")
 
 
 def q_scrape_cascade(spark, d):
-    """Which way a page's content is had: static, browser or failed."""
+    """Which way a page's content is had. The pages of the table are both what a plain fetch and, twice over, what a browser gives."""
     t = table(spark, d, "scrape_results")
-    needs = F.coalesce(F.lower("html").rlike("enable javascript|requires scripts|allow scripts"), F.lit(False))
-    static = ~T.is_bot_wall(F.col("html")) & ~needs & (F.length("html") >= 500) & (F.length("text") >= 200)
-    way = F.when(static, "static").when(F.col("html").isNotNull() & (F.coalesce(F.length("text"), F.lit(0)) > 0), "browser").otherwise("failed")
-    return t.select("scrape_id", way.alias("way"))
+    got = T.scrape_cascade(F.col("html"), F.col("text"), F.concat("html", "html"), F.col("text"))
+    small = T.scrape_cascade(F.col("html"), F.col("text"), F.lit(None).cast("string"), F.lit(None).cast("string"), least_html=500)
+    return t.select("scrape_id", got["via"].alias("via"), F.length(got["text"]).alias("size"), F.length(got["html"]).alias("html_size"), small["via"].alias("small_via"))
 
 
-_bot = f"coalesce({has('lower(substr(html, 1, 5000))', T.any_phrase(T.BOT_SIGNS))}, false)"
-add("q_scrape_cascade", q_scrape_cascade, f"SELECT scrape_id, CASE WHEN NOT {_bot} AND NOT coalesce(regexp_matches(lower(html), 'enable javascript|requires scripts|allow scripts'), false) AND length(html) >= 500 AND length(text) >= 200 THEN 'static' WHEN html IS NOT NULL AND coalesce(length(text), 0) > 0 THEN 'browser' ELSE 'failed' END AS way FROM scrape_results")
+_scripted = "regexp_matches(html, 'aria-expanded=\"false\"|data-state=\"closed\"|data-state=\"inactive\"|<details|window\\.__NEXT_DATA__|window\\.__NUXT__|__vue_app__|ng-version|data-reactroot|svelte-announcer')"
+_plain = f"coalesce(html, '') <> '' AND NOT {_wall.format('html')} AND NOT {_scripted} AND length(coalesce(text, '')) >= 200"
+add("q_scrape_cascade", q_scrape_cascade, f"""
+    WITH v AS (SELECT *, CASE WHEN {_plain} AND length(html) >= 5000 THEN 'static' WHEN coalesce(html, '') <> '' AND NOT {_wall.format('html || html')} AND length(coalesce(text, '')) >= 200 THEN 'browser' ELSE 'failed' END AS way FROM scrape_results)
+    SELECT scrape_id, way AS via, CASE WHEN way = 'failed' THEN 0 ELSE length(text) END::INT AS size, (CASE WHEN way = 'browser' OR (way = 'failed' AND coalesce({_wall.format('html || html')}, false)) THEN 2 ELSE 1 END * length(coalesce(html, '')))::INT AS html_size,
+      CASE WHEN {_plain} AND length(html) >= 500 THEN 'static' ELSE 'failed' END AS small_via FROM v""")
 
 
 def _gate(spark, d) -> DataFrame:
@@ -295,12 +304,23 @@ add("q_ruleset_hash", q_ruleset_hash, f"""SELECT snapshot_no, sha256('[' || stri
 def q_url_parts(spark, d):
     u = F.col("source")
     t = table(spark, d, "raw_pages").where("source is not null")
-    return t.select("page_id", T.domain(u).alias("domain"), T.path_part(u, 2).alias("part2"), F.initcap(F.regexp_replace(F.regexp_extract(u, r"([^/]*)\z", 1), r"\.[a-z]+\z", "")).alias("last"))
+    return t.select("page_id", T.domain(u).alias("domain"), T.market(u)["market"].alias("market"), T.path_part(u, 2).alias("part2"), T.last_segment_title(u).alias("last"), T.slug_id(F.regexp_extract(u, r"([^/]*)\z", 1)).alias("slug_id"))
 
 
 _path = "list_filter(string_split(regexp_extract(source, '^[a-z]+://[^/?#]*([^?#]*)', 1), '/'), lambda p: p <> '')"
-_tail = sub("regexp_extract(source, '([^/]*)\\z', 1)", r"\.[a-z]+\z")
-add("q_url_parts", q_url_parts, f"SELECT page_id, CASE WHEN contains(source, '://') THEN split_part(source, '/', 3) ELSE source END AS domain, coalesce({_path}[2], '') AS part2, upper(left({_tail}, 1)) || lower(substr({_tail}, 2)) AS last FROM raw_pages WHERE source IS NOT NULL")
+_tail = sub(sub(sub("regexp_extract(source, '^[a-z]+://[^/?#]*([^?#]*)', 1)", r"/+\z").join(("string_split(", ", '/')[-1]")), r"\.[a-z]+\z"), "[-_]+", " ")
+_title = lambda x: f"array_to_string(list_transform(string_split({x}, ' '), lambda w: upper(left(w, 1)) || lower(substr(w, 2))), ' ')"
+add("q_url_parts", q_url_parts, f"SELECT page_id, CASE WHEN contains(source, '://') THEN split_part(source, '/', 3) ELSE source END AS domain, coalesce({_path}[1], '') AS market, coalesce({_path}[2], '') AS part2, {_title(_tail)} AS last, split_part(regexp_extract(source, '([^/]*)\\z', 1), '-', 1) AS slug_id FROM raw_pages WHERE source IS NOT NULL")
+
+
+def q_celex(spark, d):
+    """Legal identifiers of URLs made of document ids: after uri, after from, in neither, and in another form."""
+    t = table(spark, d, "documents").select("doc_id", F.explode(F.array(*(F.concat(F.lit(a), F.col("doc_id").cast("string"), F.lit(b)) for a, b in (("https://l.example/legal-content/EN/TXT/?uri=CELEX:3", "R&from=EN"), ("https://l.example/legal-content/EN/TXT/?x=1&from=celex%3A3", ""), ("https://l.example/legal-content/EN/some-page-", "/?uri=OJ:L:1"), ("https://l.example/plain-", ""))))).alias("url"))
+    return t.select("doc_id", "url", T.celex(F.col("url")).alias("celex"), T.url_section(F.col("url")).alias("section"))
+
+
+add("q_celex", q_celex, """SELECT doc_id, unnest(['https://l.example/legal-content/EN/TXT/?uri=CELEX:3' || doc_id || 'R&from=EN', 'https://l.example/legal-content/EN/TXT/?x=1&from=celex%3A3' || doc_id, 'https://l.example/legal-content/EN/some-page-' || doc_id || '/?uri=OJ:L:1', 'https://l.example/plain-' || doc_id]) AS url,
+    unnest(['3' || doc_id || 'R', '3' || doc_id, '', '']) AS celex, unnest(['CELEX:3' || doc_id || 'R', 'CELEX:3' || doc_id, 'Some Page ' || doc_id, 'Plain ' || doc_id]) AS section FROM documents""")
 
 
 def q_labels(spark, d):
