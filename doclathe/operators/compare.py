@@ -9,7 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from doclathe.functions.unicode import nfc, squeeze
-from doclathe.runtime import parallelism
+from doclathe.runtime import materialize, parallelism, stored_bytes
+
+#: Bytes of stored rows, compressed, that one partition of a merge holds.
+PART_BYTES = 32_000_000
 
 _OUT = pa.schema([(c, pa.string()) for c in ("entity_id", "service_type", "field_name", "diff")])
 
@@ -86,5 +89,6 @@ def compare_copies(clean: DataFrame, store: DataFrame, key: str = "entity_id", c
     flat = both.select("entity_id", "side", joined.alias("t")).select("entity_id", "side", nfc(F.col("t")).alias("t"))
     parts = F.split("t", "\x1d")
     rows = flat.select("entity_id", "side", parts[0].alias("name"), F.when(parts[1] == "", F.array().cast("array<string>")).otherwise(F.array_sort(F.split(parts[1], "\x1e"))).alias("services"))
-    spread = rows.repartitionByRange(partitions or parallelism(spark), "entity_id").sortWithinPartitions("entity_id", "side")
+    rows = materialize(rows)  # split points are drawn from the rows, which would else be made twice
+    spread = rows.repartitionByRange(partitions or max(parallelism(spark), stored_bytes(rows) // PART_BYTES), "entity_id").sortWithinPartitions("entity_id", "side")
     return spread.mapInArrow(_merge, "entity_id string, service_type string, field_name string, diff string")

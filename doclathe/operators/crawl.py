@@ -33,21 +33,16 @@ def crawl(starts: DataFrame, links: DataFrame, pages: DataFrame | None = None, d
     if "pos" not in links.columns:
         links = links.withColumn("pos", F.lit(0))
     edges = links.where("from_url is not null and to_url is not null").where(followable(F.col("to_url"))).groupBy("from_url", "to_url").agg(F.min("pos").alias("pos"))
-    ok = (lambda df: df.join(pages.where("accepted").select("url").distinct(), "url", "left_semi")) if pages is not None else (lambda df: df)
-    first = starts.where("url is not null").select("start", "url").distinct()
-    levels, seen = [], []
-    frontier = materialize(ok(first).select("start", "url", F.lit(0).alias("depth"), F.array().cast("array<struct<pos:bigint,url:string>>").alias("place")))
-    seen.append(materialize(first))
-    while not frontier.isEmpty():
-        levels.append(frontier)
-        if depth is not None and len(levels) > depth:
-            break
+    known = None if pages is None else pages.where("accepted").select("url", F.lit(True).alias("ok")).distinct()
+    judged = (lambda df: df.withColumn("ok", F.lit(True))) if known is None else (lambda df: df.join(known, "url", "left"))
+    none = F.array().cast("array<struct<pos:bigint,url:string>>")
+    levels = [materialize(judged(starts.where("url is not null").select("start", "url").distinct().withColumn("depth", F.lit(0)).withColumn("place", none)))]
+    while (depth is None or len(levels) <= depth) and not (frontier := levels[-1].where("ok")).isEmpty():
         step = F.concat("place", F.array(F.struct(F.col("pos").cast("long").alias("pos"), F.col("to_url").alias("url"))))
         found = frontier.withColumnRenamed("url", "from_url").join(edges, "from_url").select("start", F.col("to_url").alias("url"), step.alias("place")).groupBy("start", "url").agg(F.min("place").alias("place"))
-        fresh = materialize(found.join(reduce(DataFrame.unionByName, [x.select("start", "url") for x in seen]), ["start", "url"], "left_anti"))
-        seen.append(fresh)
-        frontier = materialize(ok(fresh).select("start", "url", F.lit(len(levels)).alias("depth"), "place"))
-    return reduce(DataFrame.unionByName, levels or [frontier])
+        fresh = found.join(reduce(DataFrame.unionByName, [x.select("start", "url") for x in levels]), ["start", "url"], "left_anti")
+        levels.append(materialize(judged(fresh.withColumn("depth", F.lit(len(levels))))))
+    return reduce(DataFrame.unionByName, levels).where("ok").select("start", "url", "depth", "place")
 
 
 def first_pages(reached: DataFrame, limits: DataFrame, default: int = 5) -> DataFrame:

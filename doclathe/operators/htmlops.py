@@ -5,16 +5,21 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
-from urllib.parse import urljoin, urlsplit
+from urllib.parse import parse_qs, urljoin, urlsplit
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from doclathe.functions import text as T
+from doclathe.operators import chunking as C
+from doclathe.operators import jsonops as J
+
 # Element names of HTML, and marks of elements around the content.
 DROPPED = frozenset("script style noscript header footer nav aside form svg meta link title".split())
 BLOCKS = frozenset("p div section article main h1 h2 h3 h4 h5 h6 li dt dd tr td th blockquote pre br hr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+CHROME = frozenset("script style noscript header footer nav aside".split())
 NOISE = ("nav", "menu", "footer", "header", "cookie", "banner")
 JUMPS = ("Go to navigation", "Go to main content", "Go to footer", "Go to sidebar", "Go to search")
 EMITTED = frozenset("h1 h2 h3 h4 p li div section blockquote".split())
@@ -113,7 +118,7 @@ def blocks(html: str, least: int = 15) -> list[dict]:
     stack: list[Node] = [parse(html)]
     while stack:
         node = stack.pop()
-        if is_noise(node):
+        if is_noise(node, CHROME):
             continue
         if node.tag in EMITTED:
             inner = [n for n in node.walk() if n is not node and n.tag in EMITTED]
@@ -235,24 +240,164 @@ def related_links(html: str, base: str) -> list[str]:
     return sorted(out)
 
 
+def accordion(html: str, item: str = "li.accordion-box", title: str = ".accordion-title", content: str = ".accordion-content") -> list[dict]:
+    """(heading, body) of the boxes of a page that unfold; boxes without content are left out."""
+    out = []
+    for box in (n for n in parse(html).walk() if _matches(n, item)):
+        part = lambda selector: next((n for n in box.walk() if n is not box and _matches(n, selector)), None)  # noqa: B023, E731
+        head, body = part(title), part(content)
+        text = " ".join(body.text(" ").split()) if body else ""
+        if text:
+            out.append({"heading": " ".join(head.text(" ").split()) if head else "", "body": text})
+    return out
+
+
+def section_walk(html: str, least: int = 15, doubled: bool = False) -> list[dict]:
+    """(heading, body) of the parts between headings in document order: the texts of more than `least` characters of leaf paragraphs, items and captions,
+    and texts that stand in none of these; tables as lines between bars. With doubled, texts inside such a leaf are given out before it as well."""
+    leaves = frozenset({"p", "li", "dd", "figcaption"})
+    out: list[dict] = []
+    heading, body = "", []
+
+    def flush() -> None:
+        if joined := " ".join(body).strip():
+            out.append({"heading": heading, "body": joined})
+
+    stack: list[tuple[Node | str, bool]] = [(parse(html), False)]
+    while stack:
+        x, inside = stack.pop()
+        if isinstance(x, str):
+            if len(x.strip()) > least and (doubled or not inside):
+                body.append(x.strip())
+        elif x.tag in ("script", "style"):
+            continue
+        elif x.tag == "table":
+            if len(text := table_text(x).strip()) > least:
+                body.append(text)
+        elif x.tag[:1] == "h" and x.tag[1:] in set("123456"):
+            if text := " ".join(x.text(" ").split()):
+                flush()
+                heading, body = text, []
+        else:
+            leaf = x.tag in leaves and not any(isinstance(c, Node) and c.tag in ("p", "li") for c in x.children)
+            if leaf and len(text := " ".join(x.text(" ").split())) > least:
+                body.append(text)
+            stack += [(c, inside or leaf) for c in reversed(x.children)]
+    flush()
+    return out
+
+
+def teaser_links(html: str, base: str, classes: tuple[str, ...] = ("teaser",), host: str = "") -> list[str]:
+    """Targets of anchors with all the classes, absolute, whose host ends with `host`; distinct, in order; jumps within the page are left out."""
+    found = []
+    for n in parse(html).walk():
+        href = n.attrs.get("href", "").strip()
+        if n.tag == "a" and href and not href.startswith("#") and set(classes) <= set(n.attrs.get("class", "").split()):
+            link = urljoin(base, href)
+            if urlsplit(link).netloc.endswith(host):
+                found.append(link)
+    return list(dict.fromkeys(found))
+
+
+def celex_of(url: str) -> str:
+    query = parse_qs(urlsplit(url).query)
+    values = (query.get(k, [""])[0] for k in ("uri", "from"))
+    return next((v.split(":", 1)[1] for v in values if v.upper().startswith("CELEX:")), "")
+
+
+def same_document_links(html: str, base: str, path: str = "/legal-content/EN/") -> list[str]:
+    """Links of the page's host below a path that name the page's own legal document, without fragment; distinct and sorted, the page itself left out."""
+    own, name = urlsplit(base), celex_of(base)
+    out = set()
+    for link in links(html, base):
+        u = urlsplit(link)
+        if u.netloc == own.netloc and u.path.startswith(path) and (not name or celex_of(link) == name):
+            out.add(u._replace(fragment="").geturl())
+    return sorted(out - {base})
+
+
+def legal_metadata(html: str) -> dict:
+    """(title, published, reference) of a page of an official journal: the first two title lines, the header's date and reference, with the usual fallbacks."""
+    root = parse(html)
+    texts = lambda selector: [t for n in root.walk() if _matches(n, selector) and (t := " ".join(n.text(" ").split()))]
+    usual = metadata(html)
+    return {"title": " — ".join(texts(".oj-doc-ti")[:2]) or (usual["title"] or ""), "published": next(iter(texts(".oj-hd-date")), usual["published"] or ""), "reference": next(iter(texts(".oj-hd-oj")), "")}
+
+
+def plain_text(html: str) -> str:
+    """All strings of a fragment, stripped, a line each."""
+    out: list[str] = []
+    stack: list[Node | str] = [parse(html)]
+    while stack:
+        x = stack.pop()
+        if isinstance(x, str):
+            out += [x.strip()] if x.strip() else []
+        elif x.tag not in ("script", "style"):
+            stack += reversed(x.children)
+    return "\n".join(out)
+
+
 def _mapped(df: DataFrame, key: str, html: str, others: list[str], kind: str, arrow: pa.DataType, f: Callable) -> DataFrame:
-    """(key, out): f of each page's html and other columns; null html gives null. One unreadable page doesn't end the job: it gives null."""
+    """(key, out, problem): f of each page's html and other columns; null html gives null. One unreadable page doesn't end the job: it gives null, and its
+    problem names the error."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
+            out, problems = [], []
             for row in zip(*(batch.column(i).to_pylist() for i in range(1, batch.num_columns))):
                 try:
                     out.append(None if row[0] is None else f(*row))
-                except (AssertionError, ValueError, RecursionError):
+                    problems.append(None)
+                except (AssertionError, ValueError, RecursionError) as e:
                     out.append(None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, arrow)], names=[key, "out"])
+                    problems.append(f"{type(e).__name__}: {e}")
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, arrow), pa.array(problems, pa.string())], names=[key, "out", "problem"])
+
+    return df.select(key, F.col(html), *others).mapInArrow(run, f"`{key}` {df.schema[key].dataType.simpleString()}, out {kind}, problem string")
+
+
+_SECTIONS = pa.list_(pa.struct([("heading", pa.string()), ("body", pa.string())]))
+
+
+def page_sections_by(df: DataFrame, key: str, how: Callable[[str], list[dict]], html: str = "html") -> DataFrame:
+    """(key, pos, heading, body) by accordion, section_walk or another function of a page."""
+    found = _mapped(df, key, html, [], "array<struct<heading:string,body:string>>", _SECTIONS, how)
+    return found.select(key, F.posexplode("out").alias("pos", "s")).select(key, "pos", "s.*")
+
+
+def page_links_by(df: DataFrame, key: str, how: Callable[[str, str], list[str]], html: str = "html", base: str = "url") -> DataFrame:
+    """(key, pos, link) by teaser_links, same_document_links, related_links or another function of a page and its URL."""
+    return _mapped(df, key, html, [base], "array<string>", pa.list_(pa.string()), lambda h, b: how(h, b or "")).select(key, F.posexplode("out").alias("pos", "link"))
+
+
+def page_legal_metadata(df: DataFrame, key: str, html: str = "html") -> DataFrame:
+    """(key, title, published, reference)."""
+    item = pa.struct([("title", pa.string()), ("published", pa.string()), ("reference", pa.string())])
+    return _mapped(df, key, html, [], "struct<title:string,published:string,reference:string>", item, legal_metadata).select(key, "out.*")
+
+
+def page_plain(df: DataFrame, key: str, html: str = "html") -> DataFrame:
+    """(key, text): the strings of a fragment; null and '' give ''."""
+    return _mapped(df, key, html, [], "string", pa.string(), plain_text).select(key, F.coalesce("out", F.lit("")).alias("text"))
+
+
+def page_problems(df: DataFrame, key: str, html: str = "html") -> DataFrame:
+    """(key, problem) of the pages that can't be read."""
+    return _mapped(df, key, html, [], "string", pa.string(), clean).where("problem is not null").select(key, "problem")
+
 
-    return df.select(key, F.col(html), *others).mapInArrow(run, f"`{key}` {df.schema[key].dataType.simpleString()}, out {kind}")
+def clean_records(df: DataFrame, key: str, text: str = "text") -> DataFrame:
+    """(key, text): escapes decoded, JSON unwrapped, the blocks of what is left as HTML, the first of equal blocks kept, headings given out where they
+    change. Keys must be unique; a row without blocks gives ''."""
+    rows = df.select(key, J.unwrap(T.decode_text(F.col(text))).alias("html"))
+    found = C.dedupe_blocks(page_blocks(rows, key), [key], "pos")
+    marked = found.withColumn("heading", F.concat(F.repeat(F.lit("#"), F.col("heading_level")), F.lit(" "), "heading"))
+    flat = C.flatten_blocks(marked, [key], "pos")
+    return rows.select(key).join(flat, key, "left").select(key, F.coalesce("text", F.lit("")).alias("text"))
 
 
 def clean_pages(df: DataFrame, key: str, html: str = "html") -> DataFrame:
-    return _mapped(df, key, html, [], "string", pa.string(), clean).withColumnRenamed("out", "text")
+    return _mapped(df, key, html, [], "string", pa.string(), clean).select(key, F.col("out").alias("text"))
 
 
 def page_blocks(df: DataFrame, key: str, html: str = "html") -> DataFrame:

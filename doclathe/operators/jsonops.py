@@ -13,23 +13,33 @@ BODY_KEYS, ENVELOPES = ("body", "html", "content", "description"), ("article", "
 _PAGE = "array<struct<url:string,market:string,locale:string,title:string,sections:array<struct<heading:string,body:string>>>>"
 
 
+def _texts(v: Column, keys: tuple[str, ...]) -> Column:
+    """The first of the fields of a parsed object that isn't empty, as text; objects and lists stay JSON."""
+    return F.coalesce(*(F.when(x != "", x) for k in keys for x in [F.try_variant_get(v, f"$.{k}", "string")]))
+
+
 def _object(v: Column) -> Column:
-    """The text of a JSON object: its first body, or its title as a heading."""
-    body = F.coalesce(*(F.when(F.get_json_object(v, f"$.{k}") != "", F.get_json_object(v, f"$.{k}")) for k in BODY_KEYS))
-    nested = F.coalesce(*(F.when(F.get_json_object(body, f"$.{k}") != "", F.get_json_object(body, f"$.{k}")) for k in BODY_KEYS))
-    title = F.get_json_object(v, "$.title")
-    return F.coalesce(F.when(body.rlike(r"^\s*\{"), nested), body, F.when(title != "", F.concat(F.lit("## "), title)), F.lit(""))
+    """The text of a parsed JSON object: its first body, or its title as a heading. A body that is JSON itself is opened once."""
+    body, title = _texts(v, BODY_KEYS), F.try_variant_get(v, "$.title", "string")
+    opened = F.when(body.rlike(r"^\s*\{"), F.try_parse_json(body))
+    return F.coalesce(F.when(body.rlike(r"^\s*\{"), _texts(opened, BODY_KEYS)), body, F.when(title != "", F.concat(F.lit("## "), title)), F.lit(""))
 
 
 def unwrap(c: Column) -> Column:
-    """The body of a text that is a JSON object or list, through one envelope; other texts pass. Of invalid JSON the lines that aren't fields stay. Null stays null."""
-    parsed = F.try_parse_json(c)
-    inner = F.coalesce(*(F.get_json_object(c, f"$.{k}") for k in ENVELOPES))
-    whole = F.when(inner.rlike(r"^\s*[\[{]"), inner).otherwise(c)
-    listed = F.filter(F.transform(F.from_json(whole, "array<string>"), _object), lambda s: s != "")
-    valid = F.when(whole.rlike(r"^\s*\["), F.array_join(listed, "\n\n")).otherwise(_object(whole))
+    """The body of a text that is a JSON object or list, through one envelope; other texts pass. Of invalid JSON the lines that aren't fields stay. Null
+    stays null. The text is parsed once."""
+
+    def of(parsed: Column) -> Column:
+        envelopes = [F.try_variant_get(parsed, f"$.{k}", "variant") for k in ENVELOPES]
+        kind = lambda v: F.schema_of_variant(v).rlike("^(OBJECT|ARRAY)")
+        whole = F.coalesce(*(F.when(kind(e), e) for e in envelopes), parsed)
+        items = F.try_variant_get(whole, "$", "array<variant>")
+        listed = F.array_join(F.filter(F.transform(items, lambda v: T.let(v, _object)), lambda s: s != ""), "\n\n")
+        return F.when(items.isNotNull(), listed).otherwise(T.let(whole, _object))
+
     broken = F.array_join(F.filter(F.split(c, "\n"), lambda line: ~T.is_json_artifact(line)), "\n")
-    return F.when(c.isNull(), None).when(~T.is_json(c), c).when(parsed.isNull(), broken).otherwise(valid)
+    parsed = T.let(F.when(T.is_json(c), F.try_parse_json(c)), lambda p: F.when(p.isNotNull(), of(p)))
+    return F.when(c.isNull(), None).when(~T.is_json(c), c).otherwise(F.coalesce(parsed, broken))
 
 
 def page_sections(df: DataFrame, key: str, text: str = "text") -> DataFrame:

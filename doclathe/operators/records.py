@@ -17,7 +17,7 @@ def keep_first(df: DataFrame, keys: Sequence[Column | str], order: Sequence[str]
 
     An aggregation, not a window: each task keeps one row per key before the shuffle, so a key with a third of all rows does no harm."""
     named = [(k if isinstance(k, Column) else F.col(f"`{k}`")).alias(f"__k{i}") for i, k in enumerate(keys)]
-    row = F.struct(*(F.col(f"`{c}`") for c in [*order, *(c for c in df.columns if c not in order)]))
+    row = F.struct(*(F.col(f"`{c}`") for c in dict.fromkeys([*order, *df.columns])))
     best = (F.max if last else F.min)(row)
     return df.groupBy(*named).agg(best.alias("__row")).select(*(F.col(f"__row.`{c}`").alias(c) for c in df.columns))
 

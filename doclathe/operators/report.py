@@ -58,3 +58,19 @@ def progress(logs: DataFrame, markers: Sequence[tuple[str, float, str]], run: st
     seen = F.filter(listed, lambda x: x.isNotNull())
     last = F.get(seen, F.size(seen) - 1)
     return logs.select(run, F.coalesce(last["share"], F.lit(0.0)).alias("share"), F.coalesce(last["label"], F.lit("")).alias("label"))
+
+
+def tail_lines(c: Column, n: int = 60) -> Column:
+    """The last n lines of a text."""
+    lines = F.split(c, "\n")
+    return F.array_join(F.slice(lines, F.greatest(F.size(lines) - n + 1, F.lit(1)), F.lit(n)), "\n")
+
+
+def tail(c: Column, n: int = 3000) -> Column:
+    """The last n characters of a text."""
+    return F.when(F.length(c) > n, F.substring(c, -n, n)).otherwise(c)
+
+
+def text_report(counts: DataFrame, label: str, n: str = "n") -> DataFrame:
+    """(line): a table of counts as text, in order of the label."""
+    return counts.select(F.concat(F.rpad(F.coalesce(F.col(label), F.lit("-")), 24, " "), F.lit(" "), F.lpad(F.col(n).cast("string"), 10, " ")).alias("line"))

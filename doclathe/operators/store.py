@@ -42,6 +42,40 @@ def push_services(entities: DataFrame, docs: DataFrame, index: DataFrame) -> Dat
     return last.unionByName(skipped).unionByName(kept)
 
 
+# The fields of a new document of each kind that are empty until somebody fills them.
+NEW_DOCUMENT = {
+    "airline": ("rules", "sub_rules", "accessibility_info", "accessibility_contacts", "icon", "background_image"),
+    "airport": ("full_name", "accessibility_url", "airport_url", "code", "image", "background_image", "phone"),
+}
+
+
+def push_documents(entities: DataFrame, docs: DataFrame, index: DataFrame, at: str) -> DataFrame:
+    """The store after a push: (doc_id, entity_type, name, services, updated_at, fields).
+
+    A document that an entity finds gets its services and the time, its other fields stay; an entity that finds none becomes a document with empty fields
+    (the full name of an airport is its name). docs: the same columns, fields a map of texts. Matching and ties as in push_services."""
+    pushed = push_services(entities, docs, index)
+    now = pushed.where("outcome in ('updated', 'inserted')").select("doc_id", "entity_name", F.col("entity_type").alias("__type"), F.col("services").alias("__services"), "outcome")
+    none = F.create_map().cast("map<string,string>")
+    made = none
+    for kind, names in NEW_DOCUMENT.items():
+        values = [x for n in names for x in (F.lit(n), F.col("entity_name") if n == "full_name" else F.lit(""))]
+        made = F.when(F.col("__type") == kind, F.create_map(*values)).otherwise(made)
+    new = now.where("outcome = 'inserted'").select("doc_id", F.col("__type").alias("entity_type"), F.col("entity_name").alias("name"), F.col("__services").alias("services"), F.lit(at).alias("updated_at"), made.alias("fields"))
+    changed = now.where("outcome = 'updated'").select("doc_id", "__services", F.lit(True).alias("__hit"))
+    kept = docs.join(changed, "doc_id", "left")
+    old = kept.select("doc_id", "entity_type", "name", F.when(F.col("__hit"), F.col("__services")).otherwise(F.col("services")).alias("services"), F.when(F.col("__hit"), F.lit(at)).otherwise(F.col("updated_at")).alias("updated_at"), "fields")
+    return old.unionByName(new)
+
+
+def push_report(entities: DataFrame) -> DataFrame:
+    """(total, updated, skipped, errors) of a push: entities of a known type are updated, whether their document was there or made; other types are skipped;
+    known ones without name and services are errors."""
+    known = F.coalesce(F.col("entity_type").isin(*NEW_DOCUMENT), F.lit(False))
+    broken = known & F.col("services").isNull() & (F.coalesce("entity_name", F.lit("")) == "")
+    return entities.agg(F.count("*").alias("total"), F.count_if(known & ~broken).alias("updated"), F.count_if(~known).alias("skipped"), F.count_if(broken).alias("errors"))
+
+
 def delete_keys(store: DataFrame, keys: list[str], key: str = "doc_id") -> DataFrame:
     """The store without the rows of a short list of keys; rows with a null key stay."""
     return store.where(F.col(key).isNull() | ~F.col(key).isin(*keys)) if keys else store

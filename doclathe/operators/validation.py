@@ -143,3 +143,17 @@ def model_conditions() -> dict[str, Column]:
     text = [~_blank(F.col(f)) for f in ("entity_id", "entity_name", "source_id")]
     typed = F.forall(F.coalesce("services", F.array()), lambda s: ~_blank(s["type"]) & (F.length(T.strip(F.coalesce(s["description"]["en"], F.lit("")))) >= LEAST))
     return {"id": text[0], "name": text[1], "source": text[2], "services": typed}
+
+
+def failed_entities(entities: DataFrame, issues: DataFrame) -> DataFrame:
+    """Entities that an error names."""
+    bad = issues.where("severity = 'error'").select(F.col("entity_id").alias("__bad")).distinct()
+    return entities.join(bad, display_id(F.col("entity_name"), F.col("source_id")) == F.col("__bad"), "left_semi")
+
+
+def cross_source(rules: DataFrame) -> DataFrame:
+    """(title, sources, texts): titles, case and space aside, under which several sources say different things; candidates for a reviewer or a model to
+    judge. Counted by aggregation, so a title on a third of all rules does no harm."""
+    key = lambda c: F.lower(T.collapse(F.coalesce(F.col(c), F.lit(""))))
+    rows = rules.select(key("title").alias("title"), F.col("source"), key("description").alias("text")).where("title <> '' and text <> '' and source is not null")
+    return rows.groupBy("title").agg(F.count_distinct("source").alias("sources"), F.count_distinct("text").alias("texts")).where("sources > 1 and texts > 1")

@@ -13,7 +13,7 @@ from doclathe.operators.chunking import semantic_chunks
 from doclathe.operators.compare import compare_copies
 from doclathe.operators.records import chunk_dedupe
 from doclathe.operators.snapshots import snapshot_changes
-from doclathe.plans import record_queries, text_queries
+from doclathe.plans import record_queries, site_queries, text_queries
 from doclathe.runtime import spread, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,7 +35,7 @@ def chunk_counts(spark: SparkSession, d: str) -> DataFrame:
     return chunk_dedupe(chunks, ["doc_id", "chunk_no"]).groupBy("source_id").agg(F.count("*").alias("chunks"), F.sum(F.length("text")).alias("characters"))
 
 
-QUERIES: dict[str, Query] = {"chunk_counts": chunk_counts, "p5_found": p5_found, "p6_found": p6_found} | text_queries.QUERIES | record_queries.QUERIES
+QUERIES: dict[str, Query] = {"chunk_counts": chunk_counts, "p5_found": p5_found, "p6_found": p6_found} | text_queries.QUERIES | record_queries.QUERIES | site_queries.QUERIES
 
 # --- SQL of the queries above ---
 
@@ -61,4 +61,9 @@ _P6 = f"""
     UNION ALL SELECT entity_id, t, 'description_en', 'differs' FROM cs JOIN ss USING (entity_id, t) WHERE cs.en <> ss.en
     UNION ALL SELECT entity_id, t, 'description_ro', 'differs' FROM cs JOIN ss USING (entity_id, t) WHERE cs.ro <> ss.ro
     UNION ALL SELECT entity_id, t, 'is_presented', 'differs' FROM cs JOIN ss USING (entity_id, t) WHERE cs.p <> ss.p"""
-ORACLES: dict[str, str] = {"p5_found": _P5, "p6_found": _P6} | text_queries.ORACLES | record_queries.ORACLES
+_GATE = text_queries._gated("doc_id, source, text", "documents")
+_CHUNKS = f"""{_GATE.replace('WITH a AS', 'WITH RECURSIVE a AS')}, passed AS (SELECT doc_id, coalesce(source, '') AS source_id, text FROM c WHERE {text_queries._why} = 'ok'),
+    {text_queries.chunks_sql('passed', 'doc_id').strip().removeprefix('RECURSIVE ')},
+    f AS (SELECT source_id, chunk.text, row_number() OVER (PARTITION BY source_id, substr(chunk.text, 1, 200), section ORDER BY key, chunk_no) AS no FROM chunk JOIN passed ON doc_id = key)
+    SELECT source_id, count(*) AS chunks, sum(length(text))::BIGINT AS characters FROM f WHERE no = 1 GROUP BY source_id"""
+ORACLES: dict[str, str] = {"chunk_counts": _CHUNKS, "p5_found": _P5, "p6_found": _P6} | text_queries.ORACLES | record_queries.ORACLES | site_queries.ORACLES

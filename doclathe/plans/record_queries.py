@@ -19,7 +19,7 @@ from doclathe.operators import records as R
 from doclathe.operators import report as RP
 from doclathe.operators import store as S
 from doclathe.operators import validation as V
-from doclathe.plans.text_queries import has, lit, n_words, strip, sub, upper, words
+from doclathe.plans.text_queries import chunks_sql, has, lit, n_words, strip, sub, upper, words
 from doclathe.runtime import shared_dir, table
 from doclathe.streaming import ingest
 
@@ -40,13 +40,20 @@ def query(sql: str | None = None):
 # --- chunks, packs, sections -----------------------------------------------------------------------------------------------------------------
 
 
-@query()
+@query(f"WITH {chunks_sql('documents', 'doc_id')} SELECT key AS doc_id, chunk_no, id, section, length(text)::INT AS size, md5(text) AS md5 FROM chunk")
 def q_semantic_chunks(spark, d):
     chunks = C.semantic_chunks(table(spark, d, "documents"), ["doc_id"])
     return chunks.select("doc_id", "chunk_no", "id", "section", F.length("text").alias("size"), F.md5("text").alias("md5"))
 
 
-@query()
+@query(f"""
+    WITH RECURSIVE d AS (SELECT doc_id, text, list_filter(string_split(text, chr(10) || chr(10)), lambda p: {strip('p')} <> '') AS l FROM documents WHERE text IS NOT NULL),
+    p AS (SELECT doc_id, unnest(range(1, 1 + len(l))) AS i, unnest(l) AS t FROM d WHERE length(text) > 600), e AS (SELECT * FROM p UNION ALL SELECT doc_id, max(i) + 1, NULL FROM p GROUP BY doc_id),
+    r AS (SELECT DISTINCT doc_id, 0::BIGINT AS i, NULL::VARCHAR AS held, 0::BIGINT AS n, NULL::VARCHAR AS given FROM p
+      UNION ALL SELECT r.doc_id, e.i, CASE WHEN e.t IS NULL THEN NULL WHEN held IS NOT NULL AND n + length(e.t) <= 600 THEN held || chr(10) || chr(10) || e.t ELSE e.t END, CASE WHEN held IS NOT NULL AND n + length(e.t) <= 600 THEN n + length(e.t) ELSE length(e.t) END,
+        CASE WHEN e.t IS NULL OR n + length(e.t) > 600 THEN held END FROM r JOIN e ON e.doc_id = r.doc_id AND e.i = r.i + 1),
+    o AS (SELECT doc_id, 0::BIGINT AS i, text AS t FROM d WHERE length(text) <= 600 UNION ALL SELECT doc_id, i, given FROM r WHERE given IS NOT NULL)
+    SELECT doc_id, (row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1)::INT AS pack_no, length(t)::INT AS size, md5(t) AS md5 FROM o""")
 def q_greedy_pack(spark, d):
     packs = table(spark, d, "documents").where("text is not null").select("doc_id", F.posexplode(C.pack_text(F.col("text"), 600)).alias("pack_no", "t"))
     return packs.select("doc_id", "pack_no", F.length("t").alias("size"), F.md5("t").alias("md5"))
@@ -198,26 +205,6 @@ def q_post_flatten(spark, d):
 # --- HTML and links --------------------------------------------------------------------------------------------------------------------------
 
 
-@query()
-def q_html_clean(spark, d):
-    return H.clean_pages(table(spark, d, "scrape_results"), "scrape_id").select("scrape_id", F.length("text").alias("size"), F.md5("text").alias("md5"))
-
-
-@query()
-def q_html_blocks(spark, d):
-    return H.page_blocks(table(spark, d, "scrape_results"), "scrape_id").select("scrape_id", "pos", "heading", "heading_level", F.md5("text").alias("md5"))
-
-
-@query()
-def q_html_content(spark, d):
-    return H.page_content(table(spark, d, "scrape_results"), "scrape_id").select("scrape_id", "title", "published", F.md5("text").alias("md5"))
-
-
-@query()
-def q_html_sections(spark, d):
-    return H.page_heading_sections(table(spark, d, "scrape_results"), "scrape_id").select("scrape_id", "pos", "heading", F.md5("body").alias("md5"))
-
-
 _links = "SELECT scrape_id, url, (i - 1)::INT AS pos, l[i] AS h FROM (SELECT *, unnest(range(1, 1 + len(l))) AS i FROM (SELECT scrape_id, url, regexp_extract_all(html, '<a href=\"([^\"]*)\"', 1) AS l FROM scrape_results))"
 
 
@@ -632,7 +619,11 @@ def q_sync_metadata(spark, d):
 # --- enrichment and streams ------------------------------------------------------------------------------------------------------------------
 
 
-@query()
+@query(f"""
+    WITH u AS (SELECT source_id, chunk_no, id AS parent_id, coalesce(nullif(section, ''), 'General') AS section, text, row_number() OVER (PARTITION BY source_id ORDER BY chunk_no) - 1 AS pos FROM semantic_chunks WHERE NOT coalesce(sent, false) AND text IS NOT NULL),
+    l AS (SELECT *, string_split({sub('text', rf'([.!?]){WS}+', chr(92) + '1' + chr(29))}, chr(29)) AS l FROM u), e AS (SELECT source_id, pos // 30 AS batch, pos AS place, parent_id, {strip('section')} AS section, unnest(range(1, 1 + len(l))) AS k, {strip('unnest(l)')} AS text FROM l),
+    v AS (SELECT source_id, batch, row_number() OVER (PARTITION BY source_id, batch ORDER BY place, k) - 1 AS pos, md5(text) AS id, parent_id, section, text FROM e WHERE length(text) > 30 AND section <> '')
+    SELECT source_id, batch, pos::INT AS pos, id, parent_id, section FROM v QUALIFY row_number() OVER (PARTITION BY source_id, substr(text, 1, 200), section ORDER BY batch, v.pos) = 1""")
 def q_refine_chunks(spark, d):
     return E.refine(table(spark, d, "semantic_chunks"), E.SentenceBackend()).select("source_id", "batch", "pos", "id", "parent_id", "section")
 
@@ -667,11 +658,32 @@ def q_stream_upsert(spark, d):
     out, folder = _stream_dir(spark), f"{d}/store_entities.parquet"
     schema = spark.read.parquet(folder).schema
     stream = ingest.read_files(spark, folder if os.path.isdir(folder) else f"{d}/store_entities*.parquet", schema, 4).select("entity_id", "updated_at", "entity_name", "source_id", "entity_type")
-    held = ingest.VersionedTable(spark, f"{out}/table")
-    ingest.run_available(stream, f"{out}/checkpoint", ingest.upsert_sink(held, "entity_id", ["updated_at", "entity_name", "source_id", "entity_type"]))
+    held = ingest.VersionedTable(spark, f"{out}/table", "entity_id", 8)
+    ingest.run_available(stream, f"{out}/checkpoint", ingest.upsert_sink(held, ["updated_at", "entity_name", "source_id", "entity_type"]))
     return held.read().select("entity_id", "entity_name", "updated_at")
 
 
-@query("SELECT date_trunc('day', fetched_at) AS window_start, source_id, count(*) AS n FROM semantic_chunks WHERE fetched_at IS NOT NULL GROUP BY ALL")
+@query("""SELECT * FROM (SELECT date_trunc('day', fetched_at) AS window_start, source_id, count(*) AS n FROM semantic_chunks WHERE fetched_at IS NOT NULL GROUP BY ALL)
+    WHERE window_start + INTERVAL 1 DAY <= (SELECT date_trunc('milliseconds', max(fetched_at)) - INTERVAL 2 DAY FROM semantic_chunks)""")
 def q_daily_counts(spark, d):
-    return ingest.windowed_counts(table(spark, d, "semantic_chunks"), "fetched_at", ["source_id"])
+    """Counts per day and source as a stream that ends with what is there: the days that the watermark, two days behind the latest row, has closed."""
+    out, folder = _stream_dir(spark), f"{d}/semantic_chunks.parquet"
+    schema = spark.read.parquet(folder).schema
+    stream = ingest.read_files(spark, folder if os.path.isdir(folder) else f"{d}/semantic_chunks*.parquet", schema, 1_000_000)
+    ingest.run_available(ingest.windowed_counts(stream, "fetched_at", ["source_id"], "2 days"), f"{out}/checkpoint", out=f"{out}/rows")
+    return spark.read.schema("window_start timestamp, source_id string, n long").parquet(f"{out}/rows")
+
+
+@query("SELECT window_start, source_id, count(*) AS n FROM (SELECT source_id, unnest([date_trunc('hour', fetched_at), date_trunc('hour', fetched_at) - INTERVAL 1 HOUR]) AS window_start FROM page_texts WHERE fetched_at IS NOT NULL) GROUP BY ALL")
+def q_sliding_counts(spark, d):
+    t = table(spark, d, "page_texts").where("fetched_at is not null").withColumn("fetched_at", F.col("fetched_at").cast("timestamp"))
+    return t.groupBy(F.window("fetched_at", "2 hours", "1 hour").alias("w"), "source_id").agg(F.count("*").alias("n")).select(F.col("w.start").alias("window_start"), "source_id", "n")
+
+
+@query("""
+    WITH g AS (SELECT user_id, ts, coalesce((ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) >= INTERVAL 30 MINUTE)::INT, 0) AS new FROM events WHERE ts IS NOT NULL AND user_id IS NOT NULL),
+    s AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS no FROM g)
+    SELECT user_id, min(ts) AS session_start, max(ts) AS last_ts, count(*) AS n FROM s GROUP BY user_id, no""")
+def q_session_windows(spark, d):
+    t = table(spark, d, "events").where("ts is not null and user_id is not null").withColumn("ts", F.col("ts").cast("timestamp"))
+    return t.groupBy(F.session_window("ts", "30 minutes").alias("w"), "user_id").agg(F.max("ts").alias("last_ts"), F.count("*").alias("n")).select("user_id", F.col("w.start").alias("session_start"), "last_ts", "n")

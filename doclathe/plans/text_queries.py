@@ -132,16 +132,57 @@ def q_line_classes(spark, d):
     return _page_lines(spark, d).select("page_id", "line_no", T.is_heading(line).alias("heading"), T.is_fragment(line).alias("fragment"), T.is_truncated(line).alias("truncated"), T.is_bullet(line).alias("bullet"), T.is_json_artifact(line).alias("json"))
 
 
-_alpha = f"list_filter({words('s')}, lambda w: {has('w', '^' + chr(92) + 'p{L}+' + chr(92) + 'z')})"
 _cap = r"^[\p{Lu}\p{Lt}]"
-_last = f"regexp_extract(s, {lit(rf'([^{CH}]+)' + chr(92) + 'z')}, 1)"
+
+
+def heading_sql(s: str) -> str:
+    """is_heading of a trimmed line."""
+    alpha = f"list_filter({words(s)}, lambda w: {has('w', '^' + chr(92) + 'p{L}+' + chr(92) + 'z')})"
+    title = f"(len({alpha}) > 0 AND {n_words(s)} <= 10 AND len(list_filter({alpha}, lambda w: NOT {has('w', _cap)})) = 0)"
+    return f"""({s} <> '' AND {s} NOT IN ('{{', '}}', '[', ']') AND NOT {has(s, T.JSON_FIELD)} AND ({has(s, rf'^#{{1,6}}{WS}+')} OR ({s} LIKE '%?' AND length({s}) < 120)
+        OR (length({s}) < 100 AND ({upper(s)} OR {s} LIKE '%:' OR {has(s, rf'^[0-9]+(\.[0-9]+)*\.{WS}+[A-Z]')})) OR {title}))"""
+
+
+def bullet_sql(s: str) -> str:
+    return has(s, rf"^([-•*]|[0-9]+\.|[a-zA-Z]\)){WS}+")
+
+
+def fragment_sql(s: str) -> str:
+    return f"({s} IN ('{{', '}}', '[', ']') OR {has(s, T.JSON_FIELD)} OR {has(s, r'^[)\]}\p{Ll}]')})"
+
+
+def truncated_sql(s: str) -> str:
+    last = f"regexp_extract({s}, {lit(rf'([^{CH}]+)' + chr(92) + 'z')}, 1)"
+    return f"({s} = '' OR ({has(s, r'\p{L}\z')} AND ((length({last}) <= 4 AND {has(last, r'\p{Ll}')} AND NOT {has(last, r'\p{Lu}')}) OR {has(last, rf'[^aeiouAEIOU{CH}]{{3}}' + chr(92) + 'z')})))"
+
+
+def section_sql(x: str) -> str:
+    """clean_section."""
+    bare = strip(sub(sub(strip(f"coalesce({x}, '')"), rf"^#{{1,6}}{WS}+"), rf"^Source:{WS}*https?://[^{CH}]+"))
+    path = sub(f"regexp_extract({bare}, '^https?://[^/?#]*([^?#]*)', 1)", "/+\\z")
+    host = f"regexp_extract({bare}, '^https?://([^/?#]*)', 1)"
+    return f"CASE WHEN {bare} = '' THEN 'General' WHEN NOT {has(bare, '^https?://')} THEN {bare} ELSE replace(coalesce(nullif(string_split({path}, '/')[-1], ''), {host}), '-', ' ') END"
+
+
 add("q_line_classes", q_line_classes, f"""
-    WITH x AS (SELECT *, {strip('line')} AS s FROM ({_page_lines_sql()})), y AS (SELECT *, {_last} AS last, {_alpha} AS alpha FROM x)
-    SELECT page_id, line_no, {has('line', rf'^([-•*]|[0-9]+\.|[a-zA-Z]\)){WS}+')} AS bullet, {has('s', T.JSON_FIELD)} AS json,
-      s <> '' AND s NOT IN ('{{', '}}', '[', ']') AND NOT {has('s', T.JSON_FIELD)} AND ({has('s', rf'^#{{1,6}}{WS}+')} OR (s LIKE '%?' AND length(s) < 120)
-        OR (length(s) < 100 AND ({upper('s')} OR s LIKE '%:' OR {has('s', rf'^[0-9]+(\.[0-9]+)*\.{WS}+[A-Z]')})) OR (len(alpha) > 0 AND {n_words('s')} <= 10 AND len(list_filter(alpha, lambda w: NOT {has('w', _cap)})) = 0)) AS heading,
-      s IN ('{{', '}}', '[', ']') OR {has('s', T.JSON_FIELD)} OR {has('s', r'^[)\]}\p{Ll}]')} AS fragment,
-      s = '' OR ({has('s', r'\p{L}\z')} AND ((length(last) <= 4 AND {has('last', r'\p{Ll}')} AND NOT {has('last', r'\p{Lu}')}) OR {has('last', rf'[^aeiouAEIOU{CH}]{{3}}' + chr(92) + 'z')})) AS truncated FROM y""")
+    SELECT page_id, line_no, {bullet_sql('line')} AS bullet, {has('s', T.JSON_FIELD)} AS json, {heading_sql('s')} AS heading, {fragment_sql('s')} AS fragment, {truncated_sql('s')} AS truncated FROM (SELECT *, {strip('line')} AS s FROM ({_page_lines_sql()}))""")
+
+
+def chunks_sql(source: str, key: str, size: int = 1200) -> str:
+    """WITH clauses up to `chunk`: (key, chunk_no, id, section, text) of semantic_chunks over (key, text) of a source."""
+    one = f"(length(text) + CASE kind WHEN 'B' THEN 1 ELSE 2 END)"
+    full = f"(r.len + {one} > {size})"
+    return f"""
+    RECURSIVE para AS (SELECT {key} AS key, unnest(range(1, 1 + len(l))) AS n, unnest(l) AS text FROM (SELECT {key}, list_filter(list_transform(string_split({normal('text')}, chr(10) || chr(10)), lambda s: {strip('s')}), lambda s: s <> '') AS l FROM {source} WHERE text IS NOT NULL)),
+    kept AS (SELECT key, row_number() OVER (PARTITION BY key ORDER BY n) AS i, text, CASE WHEN {heading_sql('text')} THEN 'H' WHEN {bullet_sql('text')} THEN 'B' WHEN length(text) > {size} THEN 'L' ELSE 'P' END AS kind FROM para WHERE NOT {fragment_sql('text')}),
+    part AS (SELECT key, i, text, kind, CASE WHEN kind = 'H' THEN {section_sql('text')} END AS named FROM kept UNION ALL SELECT key, max(i) + 1, '', 'E', NULL FROM kept GROUP BY key),
+    r AS (SELECT DISTINCT key, 0::BIGINT AS i, 'General' AS section, '' AS held, 0 AS len, NULL::VARCHAR AS raw, NULL::VARCHAR AS site, NULL::VARCHAR AS head FROM part
+      UNION ALL SELECT r.key, p.i, coalesce(p.named, r.section), CASE kind WHEN 'H' THEN '' WHEN 'E' THEN '' WHEN 'L' THEN held ELSE CASE WHEN {full} THEN '' ELSE held END || text || CASE kind WHEN 'B' THEN chr(10) ELSE chr(10) || chr(10) END END,
+        (CASE kind WHEN 'H' THEN 0 WHEN 'E' THEN 0 WHEN 'L' THEN r.len ELSE CASE WHEN {full} AND held <> '' THEN 0 ELSE r.len END + {one} END)::INT,
+        CASE WHEN kind = 'L' THEN text WHEN held <> '' AND (kind IN ('H', 'E') OR {full}) THEN held END, CASE kind WHEN 'L' THEN 'l' WHEN 'H' THEN 'h' ELSE 'f' END, r.section
+      FROM r JOIN part p ON p.key = r.key AND p.i = r.i + 1),
+    out AS (SELECT key, (row_number() OVER (PARTITION BY key ORDER BY i) - 1)::INT AS chunk_no, head AS section, site, {strip('raw')} AS raw, {strip(sub(sub('raw', r"\n+", ' '), '  +', ' '))} AS flat FROM r WHERE raw IS NOT NULL),
+    chunk AS (SELECT key, chunk_no, section, CASE site WHEN 'l' THEN raw ELSE flat END AS text, md5(CASE site WHEN 'f' THEN flat ELSE raw END) AS id FROM out WHERE NOT {truncated_sql("CASE site WHEN 'f' THEN flat ELSE raw END")})"""
 
 
 def q_pdf_line_filters(spark, d):

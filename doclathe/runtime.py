@@ -70,6 +70,13 @@ def materialize(df: DataFrame) -> DataFrame:
     return out
 
 
+def stored_bytes(df: DataFrame) -> int:
+    """The size of a table that materialize() wrote."""
+    jvm = df.sparkSession.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(df._scratch)
+    return p.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
+
+
 def release(*dfs: DataFrame) -> None:
     """Delete tables that materialize() wrote and that nothing reads any more."""
     for df in dfs:
@@ -104,4 +111,4 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(parallelism(spark)) if size < SPREAD_BYTES * spark.sparkContext.defaultParallelism else df
 
 
-__all__ = ["BROADCAST_ROWS", "drop_shuffles", "materialize", "parallelism", "release", "shared_dir", "small", "spread", "table", "visible_to_workers"]
+__all__ = ["BROADCAST_ROWS", "drop_shuffles", "materialize", "parallelism", "release", "shared_dir", "small", "spread", "stored_bytes", "table", "visible_to_workers"]

@@ -99,8 +99,8 @@ def test_streams(spark, tmp_path):
     write = lambda data: spark.createDataFrame(data, "k string, v int, text string, at string").select("k", "v", "text", F.to_timestamp("at").alias("at")).coalesce(1).write.mode("append").parquet(src)
     write([("a", 1, "x", "2025-01-01 00:00:00"), ("b", 1, "y", "2025-01-01 01:00:00"), ("a", 2, "x", "2025-01-01 02:00:00"), (None, 0, None, "2025-01-01 03:00:00")])
     struct = spark.read.schema(schema).parquet(src).schema
-    table = ingest.VersionedTable(spark, str(tmp_path / "table"))
-    sink = ingest.upsert_sink(table, "k", ["v"])
+    table = ingest.VersionedTable(spark, str(tmp_path / "table"), "k", 4, 2)
+    sink = ingest.upsert_sink(table, ["v"])
     seen = lambda: ingest.run_available(ingest.unseen(ingest.read_files(spark, src, struct), "text", "at", "1 day").select("content_id"), str(tmp_path / "c1"), out=str(tmp_path / "ids"))
     apply = lambda: ingest.run_available(ingest.read_files(spark, src, struct), str(tmp_path / "c2"), sink)
     seen(), apply()
@@ -112,6 +112,14 @@ def test_streams(spark, tmp_path):
     again = table.versions()[-1]
     sink(spark.read.parquet(src), again)
     assert rows(table.read().select("k", "v")) == [("a", 2), ("b", 5)]
+    before = table.folders(again)
+    new = spark.createDataFrame([("b", 9, "z", None)], struct)
+    sink(new, again + 1)
+    now = table.folders(again + 1)
+    assert sum(before[b] != now[b] for b in before) == 1 and rows(table.read().select("k", "v")) == [("a", 2), ("b", 9)]
+    for n in range(2, 5):
+        sink(new, again + n)
+    assert len(table.versions()) == 2 and rows(table.read().select("k", "v")) == [("a", 2), ("b", 9)]
 
 
 def test_files(spark, tmp_path):
