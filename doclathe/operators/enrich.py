@@ -90,12 +90,15 @@ def refine(chunks: DataFrame, backend: Backend, size: int = 30, per: tuple[str,
     return keep_first(found, [*per, F.substring("text", 1, 200), "section"], ["batch", "pos"])
 
 
-def extract_services(chunks: DataFrame, backend: Backend, per: tuple[str, ...] = ("source_id",), order: tuple[str, ...] = ("chunk_no",), size: int = 50_000) -> DataFrame:
-    """(per, type, description, is_presented): services of each source, asked in packs of its text, the first of each type kept."""
-    texts = assemble(chunks, list(per), list(order)).select(*per, F.posexplode(pack_text(F.col("text"), size)).alias("pack", "request"))
+def extract_services(chunks: DataFrame, backend: Backend, per: tuple[str, ...] = ("source_id",), order: tuple[str, ...] = ("chunk_no",), size: int = 50_000, rows: int = 500) -> DataFrame:
+    """(per, type, description, is_presented): services of each source, asked in packs of its text, the first of each type kept.
+
+    The text of a source is assembled from `rows` chunks at a time, so that no value holds a whole source; packs of up to `size` characters end there."""
+    parts = batches(chunks.select(*per, *order, "section", "text"), list(per), list(order), rows)
+    texts = assemble(parts, [*per, "batch"], ["pos"]).select(*per, "batch", F.posexplode(pack_text(F.col("text"), size)).alias("pack", "request"))
     replies = ask(texts, "request", backend, tries=5)
-    found = replies.select(*per, "pack", F.posexplode(J.valid_services(J.salvage(F.col("reply")))).alias("pos", "s")).select(*per, "pack", "pos", "s.*")
-    return keep_first(found, [*per, F.lower(T.strip(F.col("type")))], ["pack", "pos"]).drop("pack", "pos")
+    found = replies.select(*per, "batch", "pack", F.posexplode(J.valid_services(J.salvage(F.col("reply")))).alias("pos", "s")).select(*per, "batch", "pack", "pos", "s.*")
+    return keep_first(found, [*per, F.lower(T.strip(F.col("type")))], ["batch", "pack", "pos"]).drop("batch", "pack", "pos")
 
 
 def entities(chunks: DataFrame, services: DataFrame, order: str = "chunk_no") -> DataFrame:

@@ -634,9 +634,8 @@ _KINDS = {"oxygen": "oxygen_on_board", "wheelchair": "wheelchair_assistance", "d
 @query()
 def q_entity_assembly(spark, d):
     chunks = table(spark, d, "semantic_chunks").where(F.col("entity_type").isin("airline", "airport"))
-    found = E.extract_services(chunks.withColumn("part", F.floor(F.col("chunk_no") / 1000)), E.KeywordBackend(_KINDS), ("source_id", "part"))
-    first = R.keep_first(found, ["source_id", "type"], ["part"]).drop("part")
-    return E.entities(chunks, first).select("source_id", "entity_name", "entity_type", "source_url", F.size("services").alias("n"))
+    found = E.extract_services(chunks, E.KeywordBackend(_KINDS))
+    return E.entities(chunks, found).select("source_id", "entity_name", "entity_type", "source_url", F.size("services").alias("n"))
 
 
 def _stream_dir(spark) -> str:
