@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from doclathe.functions import text as T
 from doclathe.operators import chunking as C
 from doclathe.operators import jsonops as J
+from doclathe.runtime import spread
 
 # Element names of HTML, and marks of elements around the content.
 DROPPED = frozenset("script style noscript header footer nav aside form svg meta link title".split())
@@ -353,7 +354,7 @@ def _mapped(df: DataFrame, key: str, html: str, others: list[str], kind: str, ar
                     problems.append(f"{type(e).__name__}: {e}")
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, arrow), pa.array(problems, pa.string())], names=[key, "out", "problem"])
 
-    return df.select(key, F.col(html), *others).mapInArrow(run, f"`{key}` {df.schema[key].dataType.simpleString()}, out {kind}, problem string")
+    return spread(df.select(key, F.col(html), *others)).mapInArrow(run, f"`{key}` {df.schema[key].dataType.simpleString()}, out {kind}, problem string")
 
 
 _SECTIONS = pa.list_(pa.struct([("heading", pa.string()), ("body", pa.string())]))
@@ -389,7 +390,7 @@ def page_problems(df: DataFrame, key: str, html: str = "html") -> DataFrame:
 def clean_records(df: DataFrame, key: str, text: str = "text") -> DataFrame:
     """(key, text): escapes decoded, JSON unwrapped, the blocks of what is left as HTML, the first of equal blocks kept, headings given out where they
     change. Keys must be unique; a row without blocks gives ''."""
-    rows = df.select(key, J.unwrap(T.decode_text(F.col(text))).alias("html"))
+    rows = spread(df.select(key, text)).select(key, J.unwrap(T.decode_text(F.col(text))).alias("html"))
     found = C.dedupe_blocks(page_blocks(rows, key), [key], "pos")
     marked = found.withColumn("heading", F.concat(F.repeat(F.lit("#"), F.col("heading_level")), F.lit(" "), "heading"))
     flat = C.flatten_blocks(marked, [key], "pos")
